@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -27,13 +30,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/eavspark-{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(
+    df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts lineage like ``checkpoint()``, survives the loss of executors, and,
-    being columnar, lets later reads prune columns.
+    being columnar, lets later reads prune columns (and ``partition_by`` values).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("error").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small constant relation. It is planned as one, so that filters and joins
+    on it fold, and reading it back starts no job."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    fields = StructType.fromDDL(schema)
+    arrow = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+    arrays = [
+        pa.array(c, arrow.get(f.dataType.simpleString(), pa.int32()))
+        for c, f in zip(columns, fields, strict=True)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=names), schema=fields)

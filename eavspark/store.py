@@ -23,7 +23,10 @@ class Store(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
-        return self.spark.createDataFrame([], SCHEMAS[name])
+        # no partitions and no job: an empty relation is folded away
+        return self.spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]]
+        )
 
     def __iter__(self):
         return iter(SCHEMAS)
