@@ -14,9 +14,11 @@ from eavspark.functions.decode import BASE_DATE
 
 
 def int_bytes(value: Column, n: int) -> Column:
-    """``n`` big-endian bytes; negative values as two's complement."""
+    """``n`` big-endian bytes; negative values as two's complement. A value that
+    does not fit raises: the page format has no wider field."""
     v = value.cast("bigint")
     v = F.when(v < 0, v + (1 << (8 * n))).otherwise(v)
+    v = F.when(v < 1 << (8 * n), v).otherwise(F.raise_error(F.lit(f"does not fit in {n} bytes")))
     return F.unhex(F.lpad(F.hex(v), 2 * n, "0"))
 
 

@@ -247,7 +247,7 @@ def number_rows(ordered: Ordered) -> Ordered:
 def expand_rows(blocks: DataFrame) -> DataFrame:
     """One row per value: blanks are fillers and give none."""
     filled = blocks.where(F.length("v") > 0)
-    last = F.col("seq_end").cast("int")
+    last = F.col("seq_end")
     return filled.select(
         *[c for c in blocks.columns if c not in ("rep", "seq_end", "_slice", "kept")],
         F.explode(F.sequence(last - F.col("rep") + 1, last)).alias("seq"),

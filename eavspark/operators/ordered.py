@@ -130,9 +130,9 @@ class Ordered:
 
     def row_number(self, name: str) -> Ordered:
         if not self.sliced:
-            return self._keep(self.df.withColumn(name, F.row_number().over(self.window())))
-        numbered = self.running_sum(F.lit(1), name)
-        return self._keep(numbered.df.withColumn(name, F.col(name).cast("int")))
+            number = F.row_number().over(self.window()).cast("bigint")
+            return self._keep(self.df.withColumn(name, number))
+        return self.running_sum(F.lit(1), name)
 
     def previous(self, column: str, name: str) -> Ordered:
         """``column`` of the row before; NULL at the start of a group."""

@@ -13,9 +13,9 @@ from eavspark.store import Store, conform
 
 # orders with entity and row number, newest first
 NUMBERED = """numbered AS (
-  SELECT CAST(o_custkey + 1 AS INTEGER) AS entity_id,
-         CAST(row_number() OVER (PARTITION BY o_custkey
-              ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS seq, o.*
+  SELECT o_custkey + 1 AS entity_id,
+         row_number() OVER (PARTITION BY o_custkey
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS seq, o.*
   FROM orders o)"""
 
 
@@ -44,7 +44,7 @@ def view_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
         star.store(spark, sf_dir, static=False), star.ORDER_VIEW, start_row=2, rows=5)
 
 
-@query(f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS entity_id, c_name AS name, n_name AS nation,
+@query(f"""SELECT c_custkey + 1 AS entity_id, c_name AS name, n_name AS nation,
        c_mktsegment AS segment, {plain('c_acctbal')} AS balance
 FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def cohort_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def view_values_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.view_values(star.store(spark, sf_dir, static=False), star.ORDER_VIEW, page=2)
 
 
-@query(f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS entity_id,
+@query(f"""SELECT c_custkey + 1 AS entity_id,
        c_name || ' ' || n_name || ' ' || {plain('c_acctbal')} AS id_line
 FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def id_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +106,8 @@ def url_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TERMS = """terms AS (
   SELECT CAST(1 AS SMALLINT) AS index_type_id, c_name AS term,
-         CAST(c_custkey + 1 AS INTEGER) AS entity_id FROM customer
-  UNION ALL SELECT 2, url, CAST(page_id + 1 AS INTEGER) FROM pages)"""
+         c_custkey + 1 AS entity_id FROM customer
+  UNION ALL SELECT 2, url, page_id + 1 FROM pages)"""
 
 
 @query(f"""WITH {_TERMS}
@@ -125,7 +125,7 @@ def term_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.find_entities(store, "CUSTOMER#000000042", index_type_id=1)
 
 
-@query("""SELECT CAST(c_custkey + 1 AS INTEGER) AS id, CAST(1 AS SMALLINT) AS entity_type_id,
+@query("""SELECT c_custkey + 1 AS id, CAST(1 AS SMALLINT) AS entity_type_id,
        min(t) AS name, max(o_orderdate) AS last_updated
 FROM (SELECT c_custkey, unnest([c_name, c_mktsegment || ' ' || c_name]) AS t FROM customer)
 LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1)
@@ -148,7 +148,7 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH terms AS (
   SELECT lower(c_name) AS k, min(c_custkey + 1) AS id FROM customer GROUP BY 1)
-SELECT o_orderkey AS order_key, upper(c) AS term, CAST(id AS INTEGER) AS linked_entity_id
+SELECT o_orderkey AS order_key, upper(c) AS term, id AS linked_entity_id
 FROM (SELECT o_orderkey, 'Customer#' || lpad(CAST(o_custkey * 2 AS VARCHAR), 9, '0') AS c
       FROM orders) LEFT JOIN terms ON k = lower(c)""")
 def resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +165,7 @@ def resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT CAST(1 AS SMALLINT) AS index_type_id,
-       event_type AS term, CAST(user_id + 1 AS INTEGER) AS entity_id
+       event_type AS term, user_id + 1 AS entity_id
 FROM (SELECT *, lag(user_id) OVER (ORDER BY ts, event_id) AS before FROM events)
 WHERE before IS DISTINCT FROM user_id GROUP BY 1, 2, 3""")
 def index_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:

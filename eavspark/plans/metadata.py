@@ -316,13 +316,13 @@ def lookup_types(code_types: DataFrame) -> DataFrame:
 def lookups(dictionary: DataFrame, codes: DataFrame) -> DataFrame:
     """Dictionary entries get negative ids, other codes keep theirs."""
     entries = dictionary.select(
-        (-F.col("page_id")).cast("int").alias("id"), F.lit(DICT_LOOKUP_TYPE).alias("lookup_type_id"),
+        (-F.col("page_id")).alias("id"), F.lit(DICT_LOOKUP_TYPE).alias("lookup_type_id"),
         "name", F.lit("").alias("code"),
     )
     return conform(
         entries.unionByName(
             codes.select(
-                F.col("page_id").cast("int").alias("id"), F.col("code_type").alias("lookup_type_id"),
+                F.col("page_id").alias("id"), F.col("code_type").alias("lookup_type_id"),
                 "name", F.col("read_code").alias("code"),
             )
         ),
@@ -330,19 +330,20 @@ def lookups(dictionary: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def menu_items(blocks: DataFrame) -> DataFrame:
-    """Menu items; ``seq`` counts all blocks, empty ones included."""
-    return conform(
-        blocks.where("length(item_name) > 0").select(
-            F.col("page_id").alias("menu_id"), F.col("pos").alias("seq"),
-            F.col("item_name").alias("name"), "function", F.col("next_menu").alias("next_menu_id"),
-            F.col("start_menu").alias("start_menu_id"),
-            "parameter1", "parameter2", "parameter3", "parameter4",
-        ),
-        "menu_items",
+def filled_items(blocks: DataFrame) -> DataFrame:
+    """Items with a name; ``seq`` counts all blocks, empty ones included."""
+    return blocks.where("length(item_name) > 0").select(
+        F.col("page_id").alias("menu_id"), F.col("pos").alias("seq"),
+        F.col("item_name").alias("name"), "function", F.col("next_menu").alias("next_menu_id"),
+        F.col("start_menu").alias("start_menu_id"),
+        "parameter1", "parameter2", "parameter3", "parameter4",
     )
 
 
+def menu_items(blocks: DataFrame) -> DataFrame:
+    return conform(filled_items(blocks), "menu_items")
+
+
 def user_starters(starters: DataFrame, menus: DataFrame) -> DataFrame:
     """Log-in records that open a menu which exists; no secret is carried over."""
     usable = starters.where("code_length > 1 and function_id = 1")

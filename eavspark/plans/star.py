@@ -54,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entity(key: str) -> Column:
-    return (F.col(key) + 1).cast("int")
+    return F.col(key) + 1
 
 
 def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     ShortType,
     StringType,
     StructField,
@@ -15,6 +16,10 @@ from pyspark.sql.types import (
 
 _SHORT, _INT, _TEXT, _NUM = ShortType(), IntegerType(), StringType(), DoubleType()
 
+# Metadata ids are 16-bit. Ids of entities and codes, and row numbers, are wide: one
+# store may unite more than a 32-bit page file holds, and one series may be long.
+_ID = LongType()
+
 
 def _struct(*fields: tuple) -> StructType:
     # a third element marks a nullable column
@@ -22,8 +27,7 @@ def _struct(*fields: tuple) -> StructType:
 
 
 def _values(name: str, dtype) -> StructType:
-    # row numbers are INT: a 16-bit counter would wrap on long series
-    return _struct(("entity_id", _INT), ("attribute_id", _SHORT), ("seq", _INT), (name, dtype))
+    return _struct(("entity_id", _ID), ("attribute_id", _SHORT), ("seq", _ID), (name, dtype))
 
 
 SCHEMAS: dict[str, StructType] = {
@@ -36,7 +40,7 @@ SCHEMAS: dict[str, StructType] = {
         ("name", _TEXT), ("id_line_view_id", _SHORT), ("id_attribute_id", _SHORT),
     ),
     "entities": _struct(
-        ("id", _INT), ("entity_type_id", _SHORT), ("name", _TEXT),
+        ("id", _ID), ("entity_type_id", _SHORT), ("name", _TEXT),
         ("last_updated", TimestampNTZType()),
     ),
     "attributes": _struct(
@@ -49,14 +53,14 @@ SCHEMAS: dict[str, StructType] = {
         ("id", _SHORT), ("entity_type_id", _SHORT), ("name", _TEXT), ("date_attribute_id", _SHORT)
     ),
     "lookups": _struct(
-        ("id", _INT), ("lookup_type_id", _SHORT), ("name", _TEXT), ("code", _TEXT, True)
+        ("id", _ID), ("lookup_type_id", _SHORT), ("name", _TEXT), ("code", _TEXT, True)
     ),
     "lookup_types": _struct(("id", _SHORT), ("name", _TEXT)),
     "index_types": _struct(
         ("id", _SHORT), ("entity_type_id", _SHORT), ("name", _TEXT), ("prefix", _TEXT, True),
         ("id_line_view_id", _SHORT),
     ),
-    "indexes": _struct(("index_type_id", _SHORT), ("term", _TEXT), ("entity_id", _INT)),
+    "indexes": _struct(("index_type_id", _SHORT), ("term", _TEXT), ("entity_id", _ID)),
     "views": _struct(
         ("id", _SHORT), ("name", _TEXT), ("n_rows", _SHORT), ("n_items", _SHORT),
         ("table_id", _SHORT), ("entity_type_id", _SHORT),
@@ -82,8 +86,8 @@ SCHEMAS: dict[str, StructType] = {
     "value_numbers": _values("value", _NUM),
     "value_dates": _values("value", DateType()),
     "value_times": _values("value", _INT),  # seconds of the day
-    "value_lookups": _values("lookup_id", _INT),
-    "value_entities": _values("linked_entity_id", _INT),
+    "value_lookups": _values("lookup_id", _ID),
+    "value_entities": _values("linked_entity_id", _ID),
 }
 
 VALUE_KEY = ["entity_id", "attribute_id", "seq"]
