@@ -82,9 +82,8 @@ def _ieee(sign: Column, exponent: Column, mantissa: Column, ebits: int, mbits: i
     return size * F.when(sign == 1, -1.0).otherwise(1.0) + 0.0
 
 
-def f32(raw: Column, endian: str = "big") -> Column:
-    """IEEE-754 single as DOUBLE; NaN gives 0."""
-    bits = uint(raw, endian)
+def f32_of(bits: Column) -> Column:
+    """IEEE-754 single, given as its 32 bits, as DOUBLE; NaN gives 0."""
     return _ieee(
         F.shiftrightunsigned(bits, 31),
         F.shiftrightunsigned(bits, 23).bitwiseAND(0xFF),
@@ -93,19 +92,32 @@ def f32(raw: Column, endian: str = "big") -> Column:
     )
 
 
-def f64(raw: Column, endian: str = "big", *, single: bool = False) -> Column:
-    """IEEE-754 double; NaN gives 0. ``single`` narrows the result to 32 bits."""
-    raw = _ordered(raw, endian)
-    high, low = uint(F.substring(raw, 1, 4)), uint(F.substring(raw, 5, 4))
-    value = _ieee(
+def f64_of(high: Column, low: Column) -> Column:
+    """IEEE-754 double, given as two halves of 32 bits; NaN gives 0."""
+    return _ieee(
         F.shiftrightunsigned(high, 31),
         F.shiftrightunsigned(high, 20).bitwiseAND(0x7FF),
         high.bitwiseAND(0xFFFFF) * F.lit(1 << 32) + low,
         11, 52,
     )
+
+
+def f32(raw: Column, endian: str = "big") -> Column:
+    return f32_of(uint(raw, endian))
+
+
+def f64(raw: Column, endian: str = "big", *, single: bool = False) -> Column:
+    """``single`` narrows the result to 32 bits."""
+    raw = _ordered(raw, endian)
+    value = f64_of(uint(F.substring(raw, 1, 4)), uint(F.substring(raw, 5, 4)))
     return value.cast("float").cast("double") if single else value
 
 
+def signed(bits: Column, n: int) -> Column:
+    """Two's complement reading of an unsigned value of ``n`` bytes."""
+    return F.when(bits >= 1 << (8 * n - 1), bits - (1 << (8 * n))).otherwise(bits)
+
+
 def bit(b: Column, off: int, index: int) -> Column:
     """Bit ``index`` (1 = lowest) of the byte at ``off``."""
     return F.getbit(u8(b, off), F.lit(index - 1)) == 1

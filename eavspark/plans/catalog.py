@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from eavspark.plans import catalog_grid, catalog_meta, catalog_sync  # noqa: F401 - register on import
+from eavspark.plans import (  # noqa: F401 - register on import
+    catalog_grid,
+    catalog_meta,
+    catalog_pages,
+    catalog_sync,
+)
 from eavspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

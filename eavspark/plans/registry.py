@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eavspark.shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +20,13 @@ def query(sql: str | None = None, name: str | None = None):
 
     def add(fn: Query) -> Query:
         key = name or fn.__name__
-        QUERIES[key] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
         return fn
