@@ -621,7 +621,7 @@ def page_point_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             E.fixed_text(F.col("c_name"), 32).alias("bytes")), path, 32)
     wanted = star.table(spark, sf_dir, "orders").where("o_totalprice > 400000").select(
         star.entity("o_custkey").alias("page_id"))
-    found = paged.pick_pages(paged.read_pages(spark, path, 32), wanted)
+    found = paged.pick_pages(spark, path, 32, wanted)
     return found.select("page_id", D.ascii_trim(F.col("bytes"), 0, 32).alias("name"))
 
 
