@@ -7,8 +7,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from eavspark.functions.decode import BASE_DATE
 
@@ -50,34 +54,30 @@ def date_bytes(value: Column) -> Column:
     return int_bytes(F.datediff(value, F.lit(BASE_DATE).cast("date")), 2)
 
 
-def _ieee(x: Column, ebits: int, mbits: int) -> Column:
-    bias = (1 << (ebits - 1)) - 1
-    size = F.abs(x)
-    guess = F.floor(F.log2(size))
-    # log2 may be off by one next to a power of two
-    e = (
-        F.when(F.pow(F.lit(2.0), guess) > size, guess - 1)
-        .when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1)
-        .otherwise(guess)
-    )
-    mantissa = ((size / F.pow(F.lit(2.0), e) - 1.0) * float(1 << mbits)).cast("bigint")
-    bits = F.shiftleft((e + bias).cast("bigint"), mbits) + mantissa
-    return F.when(x == 0, F.lit(0).cast("bigint")).otherwise(bits)
+def _big_endian(numbers: pa.Array, kind: str) -> pa.Array:
+    """IEEE-754 bytes of an Arrow array; Spark has no expression for them."""
+    x = numbers.to_numpy(zero_copy_only=False)
+    width = np.dtype(kind).itemsize
+    data = pa.py_buffer(x.astype(kind).tobytes())
+    raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(x), [None, data])
+    raw = raw.cast(pa.binary())
+    return pc.if_else(numbers.is_valid(), raw, None) if numbers.null_count else raw
+
+
+def _single_bytes(numbers: pa.Array) -> pa.Array:
+    return _big_endian(numbers, ">f4")
+
+
+def _double_bytes(numbers: pa.Array) -> pa.Array:
+    return _big_endian(numbers, ">f8")
 
 
 def f32_bytes(value: Column) -> Column:
-    """IEEE-754 single; zero and normal numbers."""
-    x = value.cast("float").cast("double")
-    bits = _ieee(x, 8, 23) + F.when(x < 0, F.lit(1 << 31)).otherwise(F.lit(0))
-    return F.unhex(F.lpad(F.hex(bits), 8, "0"))
+    return F.arrow_udf(_single_bytes, BinaryType())(value.cast("double"))
 
 
 def f64_bytes(value: Column) -> Column:
-    """IEEE-754 double; zero and normal numbers."""
-    x = value.cast("double")
-    bits = _ieee(x, 11, 52)
-    bits = F.when(x < 0, F.bitwise_not(F.bitwise_not(bits).bitwiseAND((1 << 63) - 1))).otherwise(bits)
-    return F.unhex(F.lpad(F.hex(bits), 16, "0"))
+    return F.arrow_udf(_double_bytes, BinaryType())(value.cast("double"))
 
 
 def time_bytes(seconds: Column) -> Column:
@@ -98,8 +98,8 @@ def fields(length: int, *placed: tuple[int, int, Column]) -> Column:
 
 
 def join_blocks(blocks: Column) -> Column:
-    """Concatenate an array of binary blocks."""
-    return F.aggregate(blocks, F.lit(b""), lambda acc, x: F.concat(acc, x))
+    """Concatenate an array of binary blocks, in time linear in their length."""
+    return F.unhex(F.array_join(F.transform(blocks, F.hex), ""))
 
 
 def rle_block(item: Column, value: Column, rep: Column) -> Column:

@@ -17,14 +17,13 @@ from pyspark.sql import functions as F
 from eavspark import schemas as S
 from eavspark.functions import decode as D
 from eavspark.schemas import VALUE_KEY
+from eavspark.session import broadcast_metadata
 from eavspark.store import Store
 
 SCREEN_ROWS = 18  # height of a screen, the page size where nothing else is stated
 
 Entities = int | Iterable[int] | DataFrame | None
 
-ATTRIBUTE_COLUMNS = ["attribute_id", "name", "data_type_id", "format"]
-
 
 def restrict(df: DataFrame, entities: Entities, column: str = "entity_id") -> DataFrame:
     if entities is None:
@@ -56,7 +55,7 @@ def time_of_day(seconds: Column, fmt: Column) -> Column:
 
 
 def attributes_of(store: Store, ids: Sequence[int] | None = None) -> DataFrame:
-    """Attribute columns needed for display; at most 65,536 rows, so broadcast."""
+    """Attribute columns needed for display."""
     attributes = store["attributes"].select(
         F.col("id").alias("attribute_id"), "name", "data_type_id", "format"
     )
@@ -75,7 +74,7 @@ def display_values(
     stored in two tables (entity links, qualified numbers) are merged, which costs
     them a shuffle on the key; all others pass straight through.
     """
-    types = F.broadcast(attributes_of(store, attribute_ids))
+    types = broadcast_metadata(attributes_of(store, attribute_ids), "attribute_id")
 
     def values(table: str) -> DataFrame:
         df = store[table]
@@ -149,7 +148,7 @@ def view_attributes(store: Store, view_id: int) -> list[tuple[int, str]]:
     """``(id, name)`` of a view's attributes, in view order."""
     placed = store["view_attributes"].where(F.col("view_id") == view_id)
     named = store["attributes"].select(F.col("id").alias("attribute_id"), "name")
-    rows = placed.join(F.broadcast(named), "attribute_id").select("seq", "attribute_id", "name")
+    rows = placed.join(broadcast_metadata(named, "attribute_id"), "attribute_id").select("seq", "attribute_id", "name")
     return [(r.attribute_id, r.name) for r in sorted(rows.collect(), key=lambda r: r.seq)]
 
 
@@ -198,9 +197,10 @@ def view_values(
     seqs = page_rows(page, view.n_rows or SCREEN_ROWS)
     ids = [i for i, _ in view_attributes(store, view_id)]
     values = display_values(store, ids, entities, seqs)
-    placed = F.broadcast(
+    placed = broadcast_metadata(
         store["view_attributes"].where(F.col("view_id") == view_id)
-        .select("attribute_id", F.col("seq").alias("view_seq"), "x", "y")
+        .select("attribute_id", F.col("seq").alias("view_seq"), "x", "y"),
+        "attribute_id",
     )
     return _dated(store, values, view.table_id, entities, seqs).join(
         placed, "attribute_id"

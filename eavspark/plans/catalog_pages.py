@@ -405,9 +405,11 @@ def _text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the first page of a text follows the last page of the text before
     placed = Ordered(documents.select("doc_id", "n"), [], ["doc_id"]).running_sum(
         F.col("n"), "upto").rows()
-    cut = documents.join(placed.select("doc_id", "upto"), "doc_id").select(
-        "doc_id", (F.col("upto") - F.col("n")).alias("base"), "n", "raw",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("page_no"))
+    chunks = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1),
+        lambda i: D.part(F.col("raw"), i * TEXT_BYTES, TEXT_BYTES))
+    cut = documents.select("doc_id", "n", F.posexplode(chunks).alias("page_no", "chunk")).join(
+        placed.select("doc_id", (F.col("upto") - F.col("n")).alias("base")), "doc_id")
     page = F.col("base") + F.col("page_no") + 1
     following = F.when(F.col("page_no") + 1 < F.col("n"), page + 1).otherwise(0)
     return cut.select(
@@ -415,7 +417,7 @@ def _text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         E.fields(
             512, (0, 4, E.int_bytes(following, 4)), (8, 4, E.int_bytes(F.col("doc_id") + 1, 4)),
             (16, 2, E.int_bytes(F.col("page_no"), 2)),
-            (32, TEXT_BYTES, D.part(F.col("raw"), F.col("page_no") * TEXT_BYTES, TEXT_BYTES)),
+            (32, TEXT_BYTES, F.col("chunk")),
         ).alias("bytes"), "doc_id", "page_no")
 
 
@@ -443,7 +445,8 @@ def value_system(spark: SparkSession, sf_dir: str):
     raw = star.order_bytes(spark, sf_dir)
     block = E.rle_block(F.col("item_id"), F.col("v"), F.lit(1))
     packed = star.pack(
-        raw, ["entity_id"], ["item_id", "seq"], block, 24, high=F.max("item_id"))
+        raw, ["entity_id"], ["item_id", "seq"], block, 24,
+        sizes=star.value_counts(spark, sf_dir), high=F.max("item_id"))
     numbered = materialize(star.number_pages(packed, ["entity_id"]), "data-pages")
     data = star.data_pages(numbered)
     first = numbered.where("page_no = 0").select("entity_id", "page_id")

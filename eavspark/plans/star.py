@@ -13,7 +13,7 @@ from eavspark import schemas as S
 from eavspark.functions import encode as E
 from eavspark.operators import routing as R
 from eavspark.operators.ordered import Ordered, row_number
-from eavspark.session import literal, materialize
+from eavspark.session import MAX_ID, literal, materialize
 from eavspark.store import Store, conform
 
 CUSTOMER, STATIC, ORDERS = 1, -1, 100
@@ -77,9 +77,10 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = table(spark, sf_dir, "orders").select(
         F.lit("status").alias("kind"), F.col("o_orderstatus").alias("name"))
     names = segments.distinct().unionByName(states.distinct())
-    codes = names.agg(F.array_sort(F.collect_list(F.struct("kind", "name"))).alias("all")).select(
-        F.posexplode("all").alias("at", "e")
-    ).select("e.kind", "e.name", (F.col("at") + 1).cast("int").alias("code"))
+    found = names.agg(F.array_sort(F.collect_list(F.struct("kind", "name"))).alias("all"))
+    checked = F.when(F.size("all") <= MAX_ID, F.col("all")).otherwise(
+        F.raise_error(F.lit("more dictionary codes than 16 bits hold")))
+    codes = found.select(F.posexplode(checked).alias("at", "e")).select("e.kind", "e.name", (F.col("at") + 1).cast("int").alias("code"))
     return materialize(codes, "dictionary")
 
 
@@ -185,6 +186,12 @@ def store(
     return Store(spark, {**metadata(spark), **tables})
 
 
+def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(entity_id, _n)``: values per customer, from the orders alone."""
+    return table(spark, sf_dir, "orders").groupBy(entity("o_custkey").alias("entity_id")).agg(
+        (F.count(F.lit(1)) * 5 + 4).alias("_n"))
+
+
 def order_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(entity_id, item_id, seq, v)``: customers and orders as raw value bytes.
 
@@ -228,12 +235,14 @@ def fields(spark: SparkSession) -> DataFrame:
 
 
 def pack(
-    rows: DataFrame, keys: list[str], order: list[str], block: Column, per_page: int, **aggs: Column
+    rows: DataFrame, keys: list[str], order: list[str], block: Column, per_page: int,
+    sizes: DataFrame | None = None, **aggs: Column,
 ) -> DataFrame:
     """Blocks of each group on pages of ``per_page``: ``keys, page_no, body, aggs``.
 
-    The page number comes from a row number, so a group on a page is bounded."""
-    numbered = row_number(rows, keys, order, "_at")
+    The page number comes from a row number, so a group on a page is bounded.
+    ``sizes`` may say cheaply how many rows (``_n``) each group has."""
+    numbered = row_number(rows, keys, order, "_at", sizes=sizes)
     return numbered.withColumn("_at", F.col("_at") - 1).withColumn("_block", block).groupBy(
         *keys, F.floor(F.col("_at") / per_page).cast("int").alias("page_no")
     ).agg(

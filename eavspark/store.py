@@ -77,6 +77,22 @@ def replace_table(df: DataFrame, path: str, name: str) -> None:
     write_table(df, path, name, "overwrite")
 
 
+def append_jdbc(df: DataFrame, name: str, url: str, properties: Mapping[str, str]) -> None:
+    """Bulk append to a SQL database, in batches of the driver's ``batchsize``."""
+    conform(df, name).write.jdbc(url, name, mode="append", properties=dict(properties))
+
+
+def read_jdbc(
+    spark: SparkSession, name: str, url: str, properties: Mapping[str, str],
+    column: str = "entity_id", bounds: tuple[int, int] = (1, 1 << 31), parts: int = 64,
+) -> DataFrame:
+    """Read a stored table back, split by ranges of ``column``."""
+    return spark.read.jdbc(
+        url, name, column=column, lowerBound=bounds[0], upperBound=bounds[1],
+        numPartitions=parts, properties=dict(properties),
+    )
+
+
 def scan_only(df: DataFrame) -> None:
     """Run a plan to its end and keep nothing."""
     df.write.format("noop").mode("overwrite").save()
