@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavspark.functions import decode as D
@@ -553,7 +553,7 @@ def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.indexes(P.index_blocks(L.index_definitions(definitions), pages))
 
 
-def _index_pages(spark: SparkSession, sf_dir: str):
+def _index_pages(spark: SparkSession, sf_dir: str, wrong: Column | None = None):
     customers = star.table(spark, sf_dir, "customer").withColumn("def", F.col("c_nationkey") + 1)
     block = F.concat(
         E.int_bytes(star.entity("c_custkey"), 4), E.fixed_text(F.col("c_name"), 24))
@@ -562,10 +562,13 @@ def _index_pages(spark: SparkSession, sf_dir: str):
     numbered = star.number_pages(packed, ["def"])
     before = numbered.select(
         F.col("next_id").alias("page_id"), F.col("page_id").alias("prev_id")).where("page_id > 0")
+    back = F.coalesce("prev_id", F.lit(0))
+    if wrong is not None:
+        back = F.when(wrong, back + 1_000_000).otherwise(back)
     pages = materialize(numbered.join(before, "page_id", "left").select(
         "page_id", "def", "page_no",
         E.fields(
-            20 + 16 * 28, (0, 4, E.int_bytes(F.coalesce("prev_id", F.lit(0)), 4)),
+            20 + 16 * 28, (0, 4, E.int_bytes(back, 4)),
             (4, 4, E.int_bytes(F.col("next_id"), 4)), (12, 2, E.int_bytes(F.col("n"), 2)),
             (14, 2, E.int_bytes(F.col("def"), 2)), (20, 16 * 28, F.col("body")),
         ).alias("bytes")), "index-pages")
@@ -577,11 +580,15 @@ def _index_pages(spark: SparkSession, sf_dir: str):
     return definitions, pages.select("page_id", "bytes")
 
 
-@query("""SELECT CAST(NULL AS BIGINT) AS chain_id, CAST(NULL AS BIGINT) AS page_id,
-       CAST(NULL AS INTEGER) AS prev_id, CAST(NULL AS BIGINT) AS expected WHERE false""")
+@query("""WITH n AS (SELECT c_nationkey + 1 AS def,
+         (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_custkey) - 1) // 16 AS k
+  FROM customer),
+p AS (SELECT def, k, row_number() OVER (ORDER BY def, k) AS id FROM (SELECT DISTINCT def, k FROM n))
+SELECT def AS chain_id, id AS page_id, id - 1 + 1000000 AS prev_id, id - 1 AS expected
+FROM p WHERE k % 3 = 2""")
 def index_back_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index pages whose previous page is not the page before: none here."""
-    definitions, pages = _index_pages(spark, sf_dir)
+    """Index pages whose previous page is not the page before: every third is wrong."""
+    definitions, pages = _index_pages(spark, sf_dir, wrong=F.col("page_no") % 3 == 2)
     headers = L.project(pages, "INDEX")
     starts = L.index_definitions(definitions).select(
         F.col("page_id").alias("chain_id"), F.col("page_id").alias("owner"),
