@@ -90,44 +90,65 @@ def display_values(
     def shown(df: DataFrame, display: Column) -> DataFrame:
         return df.select(*carried, display.alias("display"))
 
-    lookups = store["lookups"].select(
-        F.col("id").alias("lookup_id"), F.col("name").alias("lookup_name")
-    )
-    # neither side is assumed small: AQE broadcasts or splits by what it measures
-    coded = values("value_lookups").join(lookups, "lookup_id", "left")
-    coded = coded.withColumn("text", F.coalesce("lookup_name", F.col("lookup_id").cast("string")))
-    texts, numbers = values("value_texts"), values("value_numbers")
-    plain = [
-        shown(texts.where(kind.isin(S.TEXT, S.TIME)), F.col("value")),
-        shown(values("value_long_texts"), F.col("value")),
-        shown(numbers.where(kind != S.QUALIFIED), number_text(F.col("value"))),
-        shown(values("value_dates"), date_text(F.col("value"), fmt)),
-        shown(values("value_times"), time_of_day(F.col("value"), fmt)),
-        shown(coded.where(kind != S.QUALIFIED), F.col("text")),
-    ]
-    names = store["entities"].select(
-        F.col("id").alias("linked_entity_id"), F.col("name").alias("entity_name")
-    )
-    linked = values("value_entities").join(names, "linked_entity_id", "left")
-    # (rank, text): the linked name stands before the key text, the code before the number
-    pieces = (
-        shown(linked, F.col("entity_name")).withColumn("rank", F.lit(0))
-        .unionByName(shown(texts.where(kind == S.ENTITY_PTR), F.col("value")).withColumn("rank", F.lit(1)))
-        .unionByName(shown(coded.where(kind == S.QUALIFIED), F.col("text")).withColumn("rank", F.lit(0)))
-        .unionByName(
-            shown(numbers.where(kind == S.QUALIFIED), number_text(F.col("value"))).withColumn("rank", F.lit(1))
-        )
-    )
-    first, second = (F.max(F.when(F.col("rank") == r, F.col("display"))) for r in (0, 1))
-    merged = pieces.groupBy(*carried).agg(first.alias("_a"), second.alias("_b")).select(
-        *carried,
-        F.when(kind == S.ENTITY_PTR, F.coalesce("_a", "_b"))
-        .otherwise(F.concat_ws(" ", "_a", "_b")).alias("display"),
-    )
     held = _types_held(store, attribute_ids)
-    if held is not None and not held & {S.ENTITY_PTR, S.QUALIFIED}:
-        return reduce(DataFrame.unionByName, plain)
-    return reduce(DataFrame.unionByName, [*plain, merged])
+
+    def any_of(*kinds: int) -> bool:
+        """Branches for types that no wanted attribute has are not planned at all."""
+        return held is None or bool(held & set(kinds))
+
+    def coded() -> DataFrame:
+        # neither side is assumed small: AQE broadcasts or splits by what it measures
+        names = store["lookups"].select(
+            F.col("id").alias("lookup_id"), F.col("name").alias("lookup_name")
+        )
+        text = F.coalesce("lookup_name", F.col("lookup_id").cast("string"))
+        return values("value_lookups").join(names, "lookup_id", "left").withColumn("text", text)
+
+    value = F.col("value")
+    out: list[DataFrame] = []
+    if any_of(S.TEXT, S.TIME):
+        out.append(shown(values("value_texts").where(kind.isin(S.TEXT, S.TIME)), value))
+    if any_of(S.LONG_TEXT):
+        out.append(shown(values("value_long_texts"), value))
+    if any_of(S.NUMERIC):
+        numbers = values("value_numbers").where(kind != S.QUALIFIED)
+        out.append(shown(numbers, number_text(value)))
+    if any_of(S.DATE):
+        out.append(shown(values("value_dates"), date_text(value, fmt)))
+    if any_of(S.TIME):
+        out.append(shown(values("value_times"), time_of_day(value, fmt)))
+    if any_of(S.LOOKUP):
+        out.append(shown(coded().where(kind != S.QUALIFIED), F.col("text")))
+
+    # types stored in two tables: the first text stands before the second
+    first: list[DataFrame] = []
+    second: list[DataFrame] = []
+    if any_of(S.ENTITY_PTR):
+        names = store["entities"].select(
+            F.col("id").alias("linked_entity_id"), F.col("name").alias("entity_name")
+        )
+        linked = values("value_entities").join(names, "linked_entity_id", "left")
+        first.append(shown(linked, F.col("entity_name")))
+        second.append(shown(values("value_texts").where(kind == S.ENTITY_PTR), value))
+    if any_of(S.QUALIFIED):
+        first.append(shown(coded().where(kind == S.QUALIFIED), F.col("text")))
+        numbers = values("value_numbers").where(kind == S.QUALIFIED)
+        second.append(shown(numbers, number_text(value)))
+    if first:
+        pieces = reduce(
+            DataFrame.unionByName,
+            [p.withColumn("rank", F.lit(0)) for p in first]
+            + [p.withColumn("rank", F.lit(1)) for p in second],
+        )
+        a, b = (F.max(F.when(F.col("rank") == r, F.col("display"))) for r in (0, 1))
+        merged = pieces.groupBy(*carried).agg(a.alias("_a"), b.alias("_b"))
+        both = F.when(kind == S.ENTITY_PTR, F.coalesce("_a", "_b")).otherwise(
+            F.concat_ws(" ", "_a", "_b")
+        )
+        out.append(merged.select(*carried, both.alias("display")))
+    if not out:  # no such attributes
+        return shown(values("value_texts"), value)
+    return reduce(DataFrame.unionByName, out)
 
 
 def _types_held(store: Store, attribute_ids: Sequence[int] | None) -> set[int] | None:

@@ -142,7 +142,7 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.max("o_orderdate").alias("updated"))
     existing = updated.join(
         customers.select(star.entity("c_custkey").alias("entity_id")), "entity_id", "left_semi")
-    meta = star.metadata(spark)
+    meta = Store(spark, star.metadata(spark))
     return P.name_entities(existing, terms, meta["entity_types"], meta["attributes"])
 
 

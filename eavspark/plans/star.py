@@ -6,6 +6,9 @@ static attributes in table -1, orders as key-dated rows, newest first, in table
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,42 +92,40 @@ def coded(df: DataFrame, codes: DataFrame, kind: str, column: str) -> DataFrame:
     return df.join(F.broadcast(names), column)
 
 
-def metadata(spark: SparkSession) -> dict[str, DataFrame]:
-    attributes = literal(
-        spark, [(i, t, CUSTOMER, g, n, f) for i, t, g, n, f in ATTRIBUTES],
-        "id int, data_type_id int, entity_type_id int, table_id int, name string, format string",
-    )
-    for column in ("comment", "quark", "display_length", "max", "min", "lookup_type_id"):
-        attributes = attributes.withColumn(column, F.lit(None))
+def metadata(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
+    """Metadata tables, each made when first used."""
     places, counts = [], {}
     for view, attribute, x, y in VIEW_ATTRIBUTES:
         places.append((view, counts.setdefault(view, 0), attribute, x, y))
         counts[view] += 1
-    return {
-        "attributes": conform(attributes, "attributes"),
-        "tables": conform(
-            literal(
-                spark, [(STATIC, CUSTOMER, "Customer", 0), (ORDERS, CUSTOMER, "Orders", ORDER_DATE)],
-                "id int, entity_type_id int, name string, date_attribute_id int",
-            ), "tables"),
-        "views": conform(
-            literal(
-                spark, [(BANNER_VIEW, "Banner", 1, 3, STATIC, CUSTOMER),
-                 (ORDER_VIEW, "Orders", 3, 3, ORDERS, CUSTOMER)],
-                "id int, name string, n_rows int, n_items int, table_id int, entity_type_id int",
-            ), "views"),
-        "view_attributes": conform(
-            literal(
-                spark, places, "view_id int, seq int, attribute_id int, x int, y int"
-            ), "view_attributes"),
-        "entity_types": conform(
-            literal(
-                spark, [(CUSTOMER, 1, 1, "Customer", BANNER_VIEW, NAME)],
-                "id int, key_index_type_id int, default_index_type_id int, name string, "
-                "id_line_view_id int, id_attribute_id int",
-            ), "entity_types"),
+    none = [F.lit(None).alias(c) for c in
+            ("comment", "quark", "display_length", "max", "min", "lookup_type_id")]
+    relations = {
+        "attributes": (
+            [(i, t, CUSTOMER, g, n, f) for i, t, g, n, f in ATTRIBUTES],
+            "id int, data_type_id int, entity_type_id int, table_id int, name string, "
+            "format string", none),
+        "tables": (
+            [(STATIC, CUSTOMER, "Customer", 0), (ORDERS, CUSTOMER, "Orders", ORDER_DATE)],
+            "id int, entity_type_id int, name string, date_attribute_id int", []),
+        "views": (
+            [(BANNER_VIEW, "Banner", 1, 3, STATIC, CUSTOMER),
+             (ORDER_VIEW, "Orders", 3, 3, ORDERS, CUSTOMER)],
+            "id int, name string, n_rows int, n_items int, table_id int, entity_type_id int", []),
+        "view_attributes": (
+            places, "view_id int, seq int, attribute_id int, x int, y int", []),
+        "entity_types": (
+            [(CUSTOMER, 1, 1, "Customer", BANNER_VIEW, NAME)],
+            "id int, key_index_type_id int, default_index_type_id int, name string, "
+            "id_line_view_id int, id_attribute_id int", []),
     }
 
+    def make(name: str) -> Callable[[], DataFrame]:
+        rows, schema, more = relations[name]
+        return lambda: conform(literal(spark, rows, schema).select("*", *more), name)
+
+    return {name: make(name) for name in relations}
+
 
 def lookups(spark: SparkSession, sf_dir: str, codes: DataFrame) -> DataFrame:
     codes = codes.select(
@@ -138,6 +139,11 @@ def lookups(spark: SparkSession, sf_dir: str, codes: DataFrame) -> DataFrame:
 
 def _rows(df: DataFrame, seq: Column, value: str, *attributes: tuple[int, Column]) -> DataFrame:
     """One output row per attribute, from a single pass over ``df``."""
+    if len(attributes) == 1:
+        number, cell = attributes[0]
+        return df.select(
+            "entity_id", F.lit(number).cast("smallint").alias("attribute_id"), seq.alias("seq"),
+            cell.alias(value))
     cells = F.array(*[
         F.struct(F.lit(i).cast("smallint").alias("attribute_id"), c.alias(value))
         for i, c in attributes
@@ -151,38 +157,49 @@ def store(
     spark: SparkSession, sf_dir: str, *, static: bool = True, orders: bool = True
 ) -> Store:
     """Value tables and metadata of customers (``static``) and their ``orders``."""
-    codes = dictionary(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").withColumn("entity_id", entity("c_custkey"))
-    parts: list[tuple[str, DataFrame]] = []
-    if static:
-        one = F.lit(1)
-        segments = coded(customers, codes, "segment", "c_mktsegment")
-        parts += [
-            ("value_texts", _rows(customers, one, "value", (NAME, F.col("c_name")))),
-            ("value_numbers", _rows(customers, one, "value", (BALANCE, F.col("c_acctbal")))),
-            ("value_lookups", _rows(
-                segments, one, "lookup_id", (SEGMENT, -F.col("code")),
-                (NATION, F.col("c_nationkey") + 1))),
-        ]
+    one, seq = F.lit(1), F.col("seq")
+
+    @cache
+    def codes() -> DataFrame:
+        return dictionary(spark, sf_dir)
+
+    @cache
+    def rows() -> DataFrame:
+        return numbered_orders(spark, sf_dir)
+
+    def both(name: str, fixed: Callable, dated: Callable) -> Callable[[], DataFrame]:
+        parts = [fixed] * static + [dated] * orders
+        return lambda: reduce(DataFrame.unionByName, [conform(p(), name) for p in parts])
+
+    tables = {
+        "value_texts": both(
+            "value_texts",
+            lambda: _rows(customers, one, "value", (NAME, F.col("c_name"))),
+            lambda: _rows(rows(), seq, "value", (PRIORITY, F.col("o_orderpriority")),
+                          (ORDER_KEY, F.col("o_orderkey").cast("string"))),
+        ),
+        "value_numbers": both(
+            "value_numbers",
+            lambda: _rows(customers, one, "value", (BALANCE, F.col("c_acctbal"))),
+            lambda: _rows(rows(), seq, "value", (TOTAL, F.col("o_totalprice"))),
+        ),
+        "value_lookups": both(
+            "value_lookups",
+            lambda: _rows(
+                coded(customers, codes(), "segment", "c_mktsegment"), one, "lookup_id",
+                (SEGMENT, -F.col("code")), (NATION, F.col("c_nationkey") + 1)),
+            lambda: _rows(coded(rows(), codes(), "status", "o_orderstatus"), seq, "lookup_id",
+                          (STATUS, -F.col("code"))),
+        ),
+        "lookups": lambda: lookups(spark, sf_dir, codes()),
+        "indexes": lambda: conform(
+            customers.select(F.lit(1).alias("index_type_id"), F.col("c_name").alias("term"),
+                             "entity_id"), "indexes"),
+    }
     if orders:
-        rows, seq = numbered_orders(spark, sf_dir), F.col("seq")
-        states = coded(rows, codes, "status", "o_orderstatus")
-        parts += [
-            ("value_texts", _rows(
-                rows, seq, "value", (PRIORITY, F.col("o_orderpriority")),
-                (ORDER_KEY, F.col("o_orderkey").cast("string")))),
-            ("value_numbers", _rows(rows, seq, "value", (TOTAL, F.col("o_totalprice")))),
-            ("value_dates", _rows(rows, seq, "value", (ORDER_DATE, F.to_date("o_orderdate")))),
-            ("value_lookups", _rows(states, seq, "lookup_id", (STATUS, -F.col("code")))),
-        ]
-    tables: dict[str, DataFrame] = {}
-    for name, df in parts:
-        df = conform(df, name)
-        tables[name] = tables[name].unionByName(df) if name in tables else df
-    tables["lookups"] = lookups(spark, sf_dir, codes)
-    tables["indexes"] = conform(
-        customers.select(F.lit(1).alias("index_type_id"), F.col("c_name").alias("term"),
-                         "entity_id"), "indexes")
+        tables["value_dates"] = lambda: conform(
+            _rows(rows(), seq, "value", (ORDER_DATE, F.to_date("o_orderdate"))), "value_dates")
     return Store(spark, {**metadata(spark), **tables})
 
 

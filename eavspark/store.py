@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,13 @@ from eavspark.schemas import SCHEMAS, VALUE_KEY
 
 
 class Store(Mapping):
-    """Tables by name. A table the store lacks reads as empty."""
+    """Tables by name. A table the store lacks reads as empty; a function in place of
+    a table is called when the table is first used."""
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame] | None = None):
+    def __init__(
+        self, spark: SparkSession,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
+    ):
         self.spark = spark
         self._tables = dict(tables or {})
         unknown = set(self._tables) - set(SCHEMAS)
@@ -22,7 +26,10 @@ class Store(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._tables:
-            return self._tables[name]
+            found = self._tables[name]
+            if callable(found):
+                found = self._tables[name] = found()
+            return found
         # no partitions and no job: an empty relation is folded away
         return self.spark.range(0).select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]]
