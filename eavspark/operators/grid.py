@@ -169,7 +169,9 @@ def view_attributes(store: Store, view_id: int) -> list[tuple[int, str]]:
     """``(id, name)`` of a view's attributes, in view order."""
     placed = store["view_attributes"].where(F.col("view_id") == view_id)
     named = store["attributes"].select(F.col("id").alias("attribute_id"), "name")
-    rows = placed.join(broadcast_metadata(named, "attribute_id"), "attribute_id").select("seq", "attribute_id", "name")
+    rows = placed.join(broadcast_metadata(named, "attribute_id"), "attribute_id").select(
+        "seq", "attribute_id", "name"
+    )
     return [(r.attribute_id, r.name) for r in sorted(rows.collect(), key=lambda r: r.seq)]
 
 

@@ -107,7 +107,7 @@ def url_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TERMS = """terms AS (
   SELECT CAST(1 AS SMALLINT) AS index_type_id, c_name AS term,
          c_custkey + 1 AS entity_id FROM customer
-  UNION ALL SELECT 2, url, page_id + 1 FROM pages)"""
+  UNION ALL SELECT CAST(2 AS SMALLINT), url, page_id + 1 FROM pages)"""
 
 
 @query(f"""WITH {_TERMS}

@@ -545,7 +545,8 @@ def route_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.value_counts(routing.route(typed))
 
 
-@query("""SELECT c_nationkey + 1 AS index_type_id, c_name AS term, c_custkey + 1 AS entity_id
+@query("""SELECT CAST(c_nationkey + 1 AS SMALLINT) AS index_type_id, c_name AS term,
+       c_custkey + 1 AS entity_id
 FROM customer""")
 def index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in one index per nation: pages of keys, chained, back to terms."""
@@ -584,7 +585,8 @@ def _index_pages(spark: SparkSession, sf_dir: str, wrong: Column | None = None):
          (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_custkey) - 1) // 16 AS k
   FROM customer),
 p AS (SELECT def, k, row_number() OVER (ORDER BY def, k) AS id FROM (SELECT DISTINCT def, k FROM n))
-SELECT def AS chain_id, id AS page_id, id - 1 + 1000000 AS prev_id, id - 1 AS expected
+SELECT CAST(def AS BIGINT) AS chain_id, id AS page_id,
+       CAST(id - 1 + 1000000 AS INTEGER) AS prev_id, id - 1 AS expected
 FROM p WHERE k % 3 = 2""")
 def index_back_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index pages whose previous page is not the page before: every third is wrong."""

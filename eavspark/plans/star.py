@@ -16,7 +16,7 @@ from eavspark import schemas as S
 from eavspark.functions import encode as E
 from eavspark.operators import routing as R
 from eavspark.operators.ordered import Ordered, row_number
-from eavspark.session import MAX_ID, literal, materialize
+from eavspark.session import literal, materialize
 from eavspark.store import Store, conform
 
 CUSTOMER, STATIC, ORDERS = 1, -1, 100
@@ -71,25 +71,18 @@ def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(kind, name, code)``: dictionary codes of segments and order states.
-
-    A dictionary holds at most 65,535 codes (16-bit ids), so its distinct names
-    fit in one row and the result may be broadcast."""
+    """``(kind, name, code)``: dictionary codes of segments and order states."""
     segments = table(spark, sf_dir, "customer").select(
         F.lit("segment").alias("kind"), F.col("c_mktsegment").alias("name"))
     states = table(spark, sf_dir, "orders").select(
         F.lit("status").alias("kind"), F.col("o_orderstatus").alias("name"))
     names = segments.distinct().unionByName(states.distinct())
-    found = names.agg(F.array_sort(F.collect_list(F.struct("kind", "name"))).alias("all"))
-    checked = F.when(F.size("all") <= MAX_ID, F.col("all")).otherwise(
-        F.raise_error(F.lit("more dictionary codes than 16 bits hold")))
-    codes = found.select(F.posexplode(checked).alias("at", "e")).select("e.kind", "e.name", (F.col("at") + 1).cast("int").alias("code"))
-    return materialize(codes, "dictionary")
+    return materialize(row_number(names, [], ["kind", "name"], "code"), "dictionary")
 
 
 def coded(df: DataFrame, codes: DataFrame, kind: str, column: str) -> DataFrame:
     names = codes.where(F.col("kind") == kind).select(F.col("name").alias(column), "code")
-    return df.join(F.broadcast(names), column)
+    return df.join(names, column)
 
 
 def metadata(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
