@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import langid
+from eavspark.llm import langid, token_blocks, topk
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -41,3 +41,30 @@ def op1_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     profiles = langid.learn(docs.where(~held_out(4, 2)))
     return langid.predict(docs, profiles).withColumn("held_out", held_out(4, 2))
+
+
+@query("""
+    with v as (
+        select vec_id, min(list_transform(embedding, x -> floor(x::double * 256))) as w
+        from embeddings
+        where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        group by vec_id
+    ), s as (
+        select q.vec_id as query_id, c.vec_id, list_dot_product(q.w, c.w)::bigint as score
+        from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+    )
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+           vec_id, score
+    from s qualify rank <= 5
+""")
+def op2_top_k(spark, sf_dir):
+    """The five nearest vectors by whole inner product, for ids divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op3_token_blocks(spark, sf_dir):
+    """Every text's ids written as block files and read back."""
+    docs = table(spark, sf_dir, "documents")
+    return token_blocks.read(token_blocks.write(docs, token_blocks.default_tokenizer("word_bpe_49k.json")))
