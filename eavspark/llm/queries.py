@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import langid, token_blocks, topk
+from eavspark.llm import binpack, langid, mixing, neighbours, token_blocks, topk
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -68,3 +68,24 @@ def op3_token_blocks(spark, sf_dir):
     """Every text's ids written as block files and read back."""
     docs = table(spark, sf_dir, "documents")
     return token_blocks.read(token_blocks.write(docs, token_blocks.default_tokenizer("word_bpe_49k.json")))
+
+
+@query()
+def op4_packing(spark, sf_dir):
+    """Every text's tokens in as few sequences of 2048 as the search finds."""
+    return binpack.pack(table(spark, sf_dir, "documents"), token_blocks.default_tokenizer("byte_bpe_50k.json"))
+
+
+@query()
+def op5_mixing(spark, sf_dir):
+    """Sources mixed by weights 3, 1, 2 to 150% of all words, at most twice each."""
+    found = mixing.shares(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_quality(spark, sf_dir):
+    """Neighbours from the folds that are not held out; scores for every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = neighbours.fit(docs.where(~held_out(3, 1)), table(spark, sf_dir, "labels"))
+    return neighbours.predict(docs, model).withColumn("held_out", held_out(3, 1))
