@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import binpack, langid, mixing, neighbours, token_blocks, topk
+from eavspark.llm import binpack, langid, mixing, neardup, neighbours, token_blocks, topk
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -89,3 +89,9 @@ def op10_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = neighbours.fit(docs.where(~held_out(3, 1)), table(spark, sf_dir, "labels"))
     return neighbours.predict(docs, model).withColumn("held_out", held_out(3, 1))
+
+
+@query()
+def op8_near_duplicates(spark, sf_dir):
+    """Groups of texts whose 4-word shingles overlap by 80% or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
