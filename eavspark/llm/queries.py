@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import binpack, langid, mixing, neardup, neighbours, token_blocks, topk
+from eavspark.llm import binpack, hosts, langid, mixing, neardup, neighbours, secrets, token_blocks, topk
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -95,3 +95,17 @@ def op10_quality(spark, sf_dir):
 def op8_near_duplicates(spark, sf_dir):
     """Groups of texts whose 4-word shingles overlap by 80% or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query()
+def op7_secrets(spark, sf_dir):
+    """Secrets in every text and in what it carries encoded."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_host_rules(spark, sf_dir):
+    """Rule failures by source, shrunk and joined back."""
+    return hosts.host_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", *hosts.MEASURES, "base_failed", "kept"
+    )
