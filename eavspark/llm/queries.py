@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import binpack, hosts, langid, mixing, neardup, neighbours, secrets, token_blocks, topk
+from eavspark.llm import binpack, hosts, langid, mixing, neardup, neighbours, secrets, token_blocks, topk, toxicity
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -109,3 +109,15 @@ def op9_host_rules(spark, sf_dir):
     return hosts.host_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", *hosts.MEASURES, "base_failed", "kept"
     )
+
+
+@query()
+def op6_toxicity(spark, sf_dir):
+    """A chain low quality, toxic, both; ``toxic`` is the chain's verdict on the second."""
+    docs = table(spark, sf_dir, "documents")
+    toxic, low = F.col("toxic") == 1, F.col("quality") == 0
+    model = toxicity.fit(
+        docs.where(~held_out(4, 1)), table(spark, sf_dir, "labels"), {"low": low, "toxic": toxic, "toxic_low": toxic & low}
+    )
+    found = toxicity.predict(docs, model)
+    return found.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int")).withColumn("held_out", held_out(4, 1))
