@@ -37,6 +37,12 @@ def signature(found: np.ndarray, permutations: int) -> np.ndarray:
     return out
 
 
+def digest(found: np.ndarray) -> bytes:
+    """The class of a set: equal for equal sets only, but for a chance of 2**-160."""
+    sums = (mix(found ^ d).sum(dtype=np.uint64) for d in _DRAW[-2:])
+    return b"".join(int(v).to_bytes(8, "little") for v in sums) + zlib.crc32(found.tobytes()).to_bytes(4, "little")
+
+
 def bands_of(values: np.ndarray, width: int) -> np.ndarray:
     """One 64-bit key per band: ``width`` values of different permutations each."""
     flat = values.T.reshape(-1).astype(np.uint64)  # all minima, then all maxima
@@ -60,10 +66,8 @@ def sketches(df: DataFrame, words: int, permutations: int, width: int, id_column
                 if not len(s):
                     out.append((0, None, None, None))
                     continue
-                raw = s.tobytes()
-                whole = b"".join(int(v).to_bytes(8, "little") for v in (mix(s ^ d).sum(dtype=np.uint64) for d in _DRAW[-2:]))
                 sig = signature(s, permutations)
-                out.append((len(s), whole + zlib.crc32(raw).to_bytes(4, "little"), sig.tobytes(), bands_of(sig, width).view(np.int64)))
+                out.append((len(s), digest(s), sig.tobytes(), bands_of(sig, width).view(np.int64)))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", *schema.names])
 
@@ -72,15 +76,17 @@ def sketches(df: DataFrame, words: int, permutations: int, width: int, id_column
 
 
 def shingle_sets(df: DataFrame, words: int, text: str) -> DataFrame:
-    """(class, items): the whole set of every row."""
+    """(class, items): the class and the whole set of every text that has words."""
 
     def run(batches):
         for part in rows(batches, text):
-            kept = part.column(0)
-            items = [shingle_set(t or b"", words).view(np.int64) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([kept, pa.array(items, pa.list_(pa.int64()))], names=["class", "items"])
+            sets = [s for t in part.column(0).to_pylist() if len(s := shingle_set(t or b"", words))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                names=["class", "items"],
+            )
 
-    return df.select("class", text).mapInArrow(run, "class binary, items array<long>")
+    return df.select(text).mapInArrow(run, "class binary, items array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -134,7 +140,8 @@ def near_duplicates(
     Shingles are runs of ``words`` words, A-Z lower-cased; a shorter text is one
     shingle, a null text or one without words has none and is linked with nothing.
     ``component_id`` is the smallest id reachable over links, ``kept`` marks the row
-    that bears it (all rows, if several share that id; none for a null id).
+    that bears it (all rows, if several share that id; none for a null id). A text that only rows
+    without an id carry is linked with its equals alone.
     112 signature values in 28 bands of four find a pair at similarity 0.8 with
     probability 1 - 4e-7, more alike ones more surely; what is found is then exact.
     """
@@ -192,8 +199,8 @@ def _sets(df: DataFrame, found: DataFrame, near: DataFrame, words: int, id_colum
     """The full sets of the classes that meet another in a bucket, one text per class read."""
     member = (
         found.join(near.select("class").distinct(), "class", "left_semi")
-        .groupBy("class").agg(F.min("doc_id").alias("_id"), F.max("n_shingles").alias("_n"))
-        .where(F.col("_id").isNotNull())
+        .groupBy("class").agg(F.min("doc_id").alias("_id")).where(F.col("_id").isNotNull()).select("_id").distinct()
     )
-    texts = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(member, "_id").select("class", "_n", "_text")
+    # rows that share an id may differ in text, so the class is taken from the text itself
+    texts = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(member, "_id", "left_semi").select("_text")
     return materialize(shingle_sets(texts, words, "_text").groupBy("class").agg(F.first("items").alias("items")), "sets")

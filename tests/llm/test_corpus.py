@@ -80,6 +80,14 @@ def test_near_duplicates_of_nothing(spark):
     assert [(r.component_id, r.kept) for r in neardup.near_duplicates(documents(spark, [None])).collect()] == [(0, True)]
 
 
+def test_near_duplicates_with_shared_ids(spark):
+    rng = random.Random(10)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, a)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert {r.component_id for r in got} == {1} and sum(r.kept for r in got) == 2
+
+
 def test_components_end_with_the_least_node(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 200), (200, 300), (100, 300)]
     got = {r.node: r.root for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
