@@ -21,9 +21,9 @@ def int_bytes(value: Column, n: int) -> Column:
     """``n`` big-endian bytes; negative values as two's complement. A value that
     does not fit raises: the page format has no wider field."""
     v = value.cast("bigint")
-    v = F.when(v < 0, v + (1 << (8 * n))).otherwise(v)
-    v = F.when(v < 1 << (8 * n), v).otherwise(F.raise_error(F.lit(f"does not fit in {n} bytes")))
-    return F.unhex(F.lpad(F.hex(v), 2 * n, "0"))
+    inside = v.between(-(1 << (8 * n - 1)), (1 << (8 * n)) - 1)
+    v = F.when(inside, v).when(~inside, F.raise_error(F.concat(v, F.lit(f" does not fit in {n} bytes"))))
+    return F.unhex(F.lpad(F.hex(F.when(v < 0, v + (1 << (8 * n))).otherwise(v)), 2 * n, "0"))
 
 
 def text_bytes(value: Column, charset: str = "latin-1") -> Column:
@@ -38,11 +38,12 @@ def fixed_text(value: Column, n: int, charset: str = "latin-1") -> Column:
 
 
 def pad(raw: Column, n: int | Column) -> Column:
-    """Zero bytes on the right up to ``n``."""
-    if isinstance(n, int):
-        return F.substring(F.concat(raw, F.lit(bytes(n))), 1, n)
-    zeros = F.unhex(F.repeat(F.lit("00"), n.cast("int")))
-    return F.substr(F.concat(raw, zeros), F.lit(1), n.cast("int"))
+    """Zero bytes on the right up to ``n``. Bytes that do not fit raise."""
+    width = F.lit(n) if isinstance(n, int) else n.cast("int")
+    fits = F.when(F.length(raw) <= width, raw).when(
+        F.length(raw) > width, F.raise_error(F.concat(F.length(raw), F.lit(" bytes do not fit in "), width)))
+    zeros = F.lit(bytes(n)) if isinstance(n, int) else F.unhex(F.repeat(F.lit("00"), width))
+    return F.substr(F.concat(fits, zeros), F.lit(1), width)
 
 
 def trim_zeros(raw: Column) -> Column:

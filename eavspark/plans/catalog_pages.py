@@ -247,7 +247,8 @@ def _status_blocks(spark: SparkSession, sf_dir: str, value) -> DataFrame:
     pages = packed.select(
         "entity_id", F.col("page_no").cast("bigint").alias("chain_pos"),
         E.fields(
-            192, (6, 2, E.int_bytes(176 - F.length("body"), 2)), (16, 176, F.col("body")),
+            # sixteen blocks of at most 31 bytes, control bytes included
+            512, (6, 2, E.int_bytes(496 - F.length("body"), 2)), (16, 496, F.col("body")),
         ).alias("bytes"))
     return B.rle_blocks(pages)
 
