@@ -112,6 +112,31 @@ def test_secrets_in_layers(carried):
     assert all(b <= 2 + len(carried) for _, _, b in found)
 
 
+@pytest.mark.parametrize("beside", [b"\x00", b"\x1b[31m", b"caf\xe9 ", b"\xff\x80\xc3\xa9 "])
+@pytest.mark.parametrize("encode", [
+    lambda b: base64.b64encode(b).decode(),
+    lambda b: base64.b64encode(gzip.compress(b)).decode(),
+    lambda b: "".join(f"%{c:02X}" for c in b),
+])
+def test_secrets_beside_bytes_that_are_no_text(encode, beside):
+    carried = encode(beside + SECRET.encode() + b" " + beside)
+    found = secrets.find("see " + carried + " end")[1]
+    assert {k for _, k, _ in found} == {0}
+    assert all(4 <= a < b <= 4 + len(carried) for a, _, b in found)
+    if carried == base64.b64encode(beside + SECRET.encode() + b" " + beside).decode():
+        n = len(beside)
+        assert found == {(4 + n * 8 // 6, 0, 4 + ((n + len(SECRET)) * 8 - 1) // 6 + 1)}
+
+
+def test_secrets_beside_escapes_of_no_character():
+    run = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET) + "&#9999999;"
+    assert secrets.find(run)[1] == {(0, 0, len(run))}
+
+
+def test_wholly_binary_runs_are_no_layers():
+    assert secrets.find(base64.b64encode(bytes(range(128, 256))).decode())[2] == []
+
+
 def test_secrets_end_on_cycles_and_match_brute_force(spark):
     texts = [None, "", "token: 'abcdef' PASSWORD=\"x\" api_key=1234567", "AKIA" + "A" * 16 + " AKIAAAA", "f" * 24 + "g" + "0" * 23,
              "%25" * 50, "a%2525252525", "é secret=ééé passwd = qwertz", "%41%4", "Kelvin toKen=abcdefg toKen=abcdefg"]
