@@ -128,13 +128,50 @@ def test_secrets_beside_bytes_that_are_no_text(encode, beside):
         assert found == {(4 + n * 8 // 6, 0, 4 + ((n + len(SECRET)) * 8 - 1) // 6 + 1)}
 
 
+def wrapped(data, width, end="\n"):
+    run = base64.b64encode(data).decode()
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+@pytest.mark.parametrize("width", [64, 76, 10, 61])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_secrets_in_wrapped_base64(width, end):
+    rng = random.Random(7)
+    long = " ".join([prose(rng, 90), SECRET, prose(rng, 90)]).encode()
+    for data in (long, gzip.compress(long), b"x" * 38 + SECRET.encode()):
+        text = "see below" + end + wrapped(data, width, end) + end + "bye\n"
+        found = secrets.find(text)[1]
+        assert {k for _, k, _ in found} == {0}
+        a, _, b = min(found)
+        assert len("see below" + end) <= a < b < len(text)
+        if data is not long:
+            continue
+        # the span holds the characters that carry the secret, and no more than a group more
+        digits = "".join(text[a:b].split())
+        assert any(SECRET.encode() in base64.b64decode(("A" * k + digits + "AAAA")[: (k + len(digits) + 4) // 4 * 4]) for k in range(4))
+        assert len(digits) <= len(SECRET) * 8 // 6 + 2
+
+
+@pytest.mark.parametrize("glue", ["path/", "key_", "a-b-", "x", "xy", "xyz", "/a/b/c/", "-----"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_secrets_in_glued_base64(glue, pack):
+    run = base64.b64encode(pack(SECRET.encode())).decode().rstrip("=")
+    found = secrets.find(glue + run + "/more_")[1]
+    assert {k for _, k, _ in found} == {0}
+    a, _, b = min(found)
+    if pack is bytes:
+        assert found == {(len(glue), 0, len(glue) + len(run))}
+    else:
+        assert a <= len(glue) and b >= len(glue) + len(run)
+
+
 def test_secrets_beside_escapes_of_no_character():
     run = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET) + "&#9999999;"
     assert secrets.find(run)[1] == {(0, 0, len(run))}
 
 
 def test_wholly_binary_runs_are_no_layers():
-    assert secrets.find(base64.b64encode(bytes(range(128, 256))).decode())[2] == []
+    assert secrets.find(base64.b64encode(b"\x00\xff" * 64).decode())[2] == []
 
 
 def test_secrets_end_on_cycles_and_match_brute_force(spark):
