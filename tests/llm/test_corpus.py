@@ -1,11 +1,14 @@
 """The corpus operators against brute force, on small tables with the odd cases in."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -170,6 +173,36 @@ def test_secrets_beside_escapes_of_no_character():
     assert secrets.find(run)[1] == {(0, 0, len(run))}
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_secrets_in_long_torn_and_joined_streams(pack):
+    def kinds(data):
+        text = "see " + base64.b64encode(data).decode()
+        found = secrets.find(text)[1]
+        assert all(4 <= a < b <= len(text) for a, _, b in found)
+        return {k for _, k, _ in found}
+
+    secret, key = SECRET.encode(), b"AKIA" + b"A" * 16
+    assert kinds(pack(b"no more") + pack(secret) + pack(key)) == {0, 1}
+    assert kinds(pack(b"ab " + secret[:10]) + pack(secret[10:])) == {0}  # across members
+    rest = bytes(random.Random(8).randbytes(300_000))
+    whole = pack(secret + b" " + rest)
+    if pack is not bz2.compress:  # its blocks are whole or nothing
+        assert kinds(whole[: len(whole) // 2]) == {0}
+        broken = whole[:200_000] + b"\xff" * 40 + whole[200_040:]
+        assert 0 in kinds(broken)
+    blank = b"ab cd " * (11 << 20)  # 66 MB
+    assert kinds(pack(blank + secret)) == {0}
+    assert kinds(pack(blank[: secrets.PIECE - 8] + secret + blank[: secrets.PIECE])) == {0}
+
+
+def test_windows_share_what_lies_across():
+    nested = base64.b64encode(prose(random.Random(9), 900_000).encode())
+    data = b"ab cd " * 200_000 + nested + b" ef gh" * 200_000
+    parts = list(secrets.windows(data[i : i + 70_000] for i in range(0, len(data), 70_000)))
+    assert len(parts) > 2 and any(nested in p for p in parts)
+    assert list(secrets.windows([])) == []
+
+
 def test_wholly_binary_runs_are_no_layers():
     assert secrets.find(base64.b64encode(b"\x00\xff" * 64).decode())[2] == []
 
