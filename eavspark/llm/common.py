@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,3 +149,32 @@ def shingle_set(data: bytes, k: int) -> np.ndarray:
     for j in range(width):
         total += words[j : n - width + 1 + j] * _STEP[j]
     return np.unique(mix(total))
+
+
+# ---- terms ------------------------------------------------------------------------
+
+
+def counted_terms(data: bytes, term: re.Pattern, gap: re.Pattern) -> Counter:
+    """How often each term occurs, A-Z lower-cased. Long texts go in pieces cut where ``gap`` matches."""
+    data = data.lower()  # bytes: ASCII alone
+    found: Counter = Counter()
+    at = 0
+    while at < len(data):
+        cut = gap.search(data, at + CHUNK) if at + CHUNK < len(data) else None
+        end = cut.start() if cut else len(data)
+        found.update(term.findall(data[at:end]))
+        at = end
+    return found
+
+
+def small_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``ROWS`` rows and about ``most`` bytes of text, the text as bytes."""
+    for batch in rows(batches, text):
+        column = batch.column(batch.schema.get_field_index(text))
+        if column.nbytes <= most:
+            yield batch
+            continue
+        ends = np.cumsum(np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False))) // most
+        starts = np.flatnonzero(np.diff(ends, prepend=-1))
+        for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(start, stop - start)

@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.llm import binpack, hosts, langid, mixing, neardup, neighbours, secrets, token_blocks, topk, toxicity
+from eavspark.llm import (
+    binpack, divergence, hosts, langid, lexical, mixing, neardup, neighbours, secrets, token_blocks, topk, toxicity,
+)
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
 
@@ -121,3 +123,82 @@ def op6_toxicity(spark, sf_dir):
     )
     found = toxicity.predict(docs, model)
     return found.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int")).withColumn("held_out", held_out(4, 1))
+
+
+@query(r"""
+    with d as (
+        select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents
+    ), o as (
+        select doc, lang, source, unnest(terms) as term from d
+    ), kept as (
+        select lang, term, count(*) as n from o group by all having count(distinct doc) >= 30
+    ), v as (
+        select lang, count(*) as v, sum(n) as n from kept group by lang
+    ), g as (
+        select distinct lang, source from d
+    ), c as (
+        select o.lang, o.source, o.term, count(*) as n from o join kept using (lang, term) group by all
+    ), t as (
+        select lang, source, sum(n) as n from c group by all
+    ), p as (
+        select g.lang, g.source, kept.term, coalesce(c.n, 0) as n,
+               1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (coalesce(t.n, 0) + 5 * v.v) as p,
+               1 + (1000000000::hugeint * (kept.n + 5)) // (v.n + 5 * v.v) as q
+        from g join kept using (lang) join v using (lang)
+        left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term
+        left join t on t.lang = g.lang and t.source = g.source
+    ), pair as (
+        select a.lang, a.source, b.source as item, coalesce(sum(abs(x.p - y.p)), 0) as value
+        from g a join g b on a.lang = b.lang and a.source <> b.source
+        left join p x on x.lang = a.lang and x.source = a.source
+        left join p y on y.lang = a.lang and y.source = b.source and y.term = x.term
+        group by all
+    ), term as (
+        select lang, source, term as item, p - q as value from p where n > 0 and p > q
+    ), ranked as (
+        select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+        from (select *, 'pair' as part from pair union all by name select *, 'term' as part from term)
+    )
+    select lang, source, part, item, value::bigint as value, rank::int as rank
+    from ranked where part = 'pair' or rank <= 50
+""")
+def op12_source_divergence(spark, sf_dir):
+    """How the sources of each language differ, over the terms of 30 documents or more."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+    with d as (
+        select doc_id, row_number() over () as doc,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents
+    ), corpus as (
+        select count(*)::bigint as docs, sum(len(terms))::bigint as length from d where len(terms) > 0
+    ), item as (
+        select item_id, item, term, count(*)::bigint as repeats from (
+            select item_id, row_number() over () as item,
+                   unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark) group by all
+    ), tf as (
+        select doc_id, doc, size, term, count(*)::bigint as tf
+        from (select doc_id, doc, len(terms)::bigint as size, unnest(terms) as term from d)
+        where term in (select term from item) group by all
+    ), w as (
+        select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+        from tf, corpus group by term, docs
+    ), hit as (
+        select item, item_id, doc, doc_id,
+               sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * size * docs) // length))))::bigint as score
+        from item join tf using (term) join w using (term), corpus group by all
+    )
+    select item_id, row_number() over (partition by item order by score desc, doc_id)::int as rank, doc_id, score
+    from hit where score > 0 qualify rank <= 10
+""")
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
