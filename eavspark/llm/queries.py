@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavspark.llm import (
-    binpack, divergence, hosts, langid, lexical, mixing, neardup, neighbours, secrets, token_blocks, topk, toxicity,
+    binpack, divergence, hosts, langid, lexical, mixing, neardup, neighbours, overlap, secrets, token_blocks, topk, toxicity,
 )
 from eavspark.llm.common import fold, table
 from eavspark.shipping import ship
@@ -202,3 +202,36 @@ def op12_source_divergence(spark, sf_dir):
 def op13_lexical_search(spark, sf_dir):
     """The ten best documents for every benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(r"""
+    with recursive w as (
+        select row_number() over () as doc, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x20\x09-\x0D]+') as w
+        from documents
+    ), s as (
+        select doc, doc_id,
+               case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+               end as s
+        from w
+    ), e as (
+        select doc, len(s) as n, unnest(s) as t from s
+    ), rare as (  -- only a shared shingle can link
+        select doc, n, t from e where t in (select t from e group by t having count(*) > 1)
+    ), l as (
+        select x.doc as a, y.doc as b
+        from rare x join rare y on x.t = y.t and x.doc <> y.doc and 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+        group by x.doc, y.doc, x.n, y.n
+        having 100 * count(*) >= 90 * (x.n + y.n - count(*))
+    ), reach as (
+        select doc, doc as other from s union select r.doc, l.b from reach r join l on r.other = l.a
+    ), root as (
+        select reach.doc, min(s.doc_id) as component_id from reach join s on s.doc = reach.other group by reach.doc
+    )
+    select s.doc_id, len(s.s)::bigint as n_shingles, root.component_id from s join root using (doc)
+""")
+def op11_ngram_join(spark, sf_dir):
+    """Groups of texts whose 3-word shingles overlap by 90% or more."""
+    return overlap.jaccard_groups(table(spark, sf_dir, "documents"))
