@@ -121,21 +121,27 @@ def _rle_batch(pages: pa.Array, first: int, no_value: np.ndarray | None):
     return row, pos.astype(np.int32), item.astype(np.int32), rep.astype(np.int32), v
 
 
+Read = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
 def rle_blocks(
     pages: DataFrame,
     *,
     header: int = 16,
     keep: Sequence[str] = ("entity_id", "chain_pos"),
     without_value: Iterable[int] = (),
+    read: Read | None = None,
 ) -> DataFrame:
     """Run-length blocks: ``keep`` columns, ``pos, item_id, rep, v``.
 
     The length of a block is in its own bytes, which no expression can follow
     cheaply, so Arrow batches go through numpy; pages stay where they are.
     ``without_value`` names items whose bytes are not wanted (their blocks stay,
-    since they count for the order of items).
+    since they count for the order of items). With ``read`` the pages are rows
+    without ``bytes``, which it adds in the same task.
     """
-    source = pages.select(*keep, "bytes")
+    names = list(keep)
+    source = pages.select(*names) if read else pages.select(*names, "bytes")
     schema = StructType(
         [pages.schema[k] for k in keep]
         + [
@@ -145,11 +151,10 @@ def rle_blocks(
             StructField("v", BinaryType()),
         ]
     )
-    names = list(keep)
     dropped = np.array(sorted(without_value), dtype=np.int32) if without_value else None
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in read(batches) if read else batches:
             column = batch.column(len(names))
             if column.null_count:
                 batch = batch.filter(column.is_valid())

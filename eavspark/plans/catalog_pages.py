@@ -443,7 +443,7 @@ def long_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def value_system(spark: SparkSession, sf_dir: str):
-    """Customers and orders as the page files of one system, page tables by name."""
+    """Customers and orders as one system: a file of value pages, and tables of the others."""
     raw = star.order_bytes(spark, sf_dir)
     block = E.rle_block(F.col("item_id"), F.col("v"), F.lit(1))
     packed = star.pack(
@@ -472,11 +472,10 @@ def value_system(spark: SparkSession, sf_dir: str):
         F.col("attribute_id").cast("bigint").alias("page_id"),
         E.fields(64, (12, 2, E.int_bytes(F.lit(3), 2))).alias("bytes"))
     empty = data.where("false").select("page_id", "bytes")
-    system = {
-        "DATA": data.select("page_id", "bytes"), "VRX": vrx, "PATSTS": status, "ITEM": items,
-        "VALID": valid, "FRTEXT": empty,
-    }
-    return system.__getitem__
+    folder = scratch_path(spark, "system")
+    paged.write_pages(data, f"{folder}/DATA.DBS", 1024)
+    tables = {"VRX": vrx, "PATSTS": status, "ITEM": items, "VALID": valid, "FRTEXT": empty}
+    return paged.PageFolder(spark, folder, lengths={"DATA.DBS": 1024}, tables=tables)
 
 
 _RAW = f"""WITH {NUMBERED},

@@ -125,6 +125,14 @@ def project(
     return pages.select("page_id", *columns)
 
 
+_WIDTHS = {"u8": 1, "i8": 1, "bit": 1, "u16": 2, "i16": 2, "u32": 4, "i32": 4}
+
+
+def head_length(name: str) -> int:
+    """Bytes from the start of a page that hold all header fields of file ``name``."""
+    return max(spec[0] + (_WIDTHS.get(spec[1]) or spec[2]) for spec in FIELDS[name].values())
+
+
 def project_blocks(
     pages: DataFrame, name: str, *, charset: str = "ascii", endian: str = "big"
 ) -> DataFrame:
