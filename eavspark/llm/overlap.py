@@ -38,7 +38,7 @@ from eavspark.llm.neardup import components, digest
 from eavspark.session import materialize
 
 RANGE = 1 << 21  # shingles of a hash range
-CELL = 1 << 20  # shingles on either side of a cell
+CELL = 1 << 17  # shingles on either side of a cell
 MU = 0.0085  # weighs a probe against a step of the merge
 
 
@@ -185,8 +185,10 @@ def ranges(df: DataFrame, words: int, count: int) -> DataFrame:
     return df.select("text").mapInArrow(run, "range long, tokens binary, classes binary, sizes binary")
 
 
-def shared_counts(packed: DataFrame) -> DataFrame:
-    """(name, shared): how many shingles of a class occur in another class, for those that have any."""
+def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
+    """(name, shared): how many shingles of a class occur in another class, for those that have any.
+
+    Every range packs what it finds for ``parts`` parts of the classes, and every part adds up."""
 
     def count(table: pa.Table) -> pa.Table:
         tokens, classes, sizes = (
@@ -200,9 +202,21 @@ def shared_counts(packed: DataFrame) -> DataFrame:
         starts, owner = np.flatnonzero(new[once]), owner[once]
         many = np.diff(starts, append=len(owner))
         names, n = np.unique(owner[np.repeat(many > 1, many)], return_counts=True)
-        return pa.table({"name": pa.array(names, pa.int64()), "shared": pa.array(n, pa.int64())})
+        where = names % parts
+        order = np.argsort(where, kind="stable")
+        split = np.split(order, np.flatnonzero(np.diff(where[order])) + 1) if len(order) else []
+        return pa.table({
+            "part": pa.array([where[s[0]] for s in split], pa.int64()), "names": pa.array([names[s].tobytes() for s in split], pa.binary()),
+            "shared": pa.array([n[s].astype(np.uint32).tobytes() for s in split], pa.binary()),
+        })
+
+    def total(table: pa.Table) -> pa.Table:
+        names, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("names", np.int64), ("shared", np.uint32)))
+        names, which = np.unique(names, return_inverse=True)
+        return pa.table({"name": pa.array(names), "shared": pa.array(np.bincount(which, n).astype(np.int64))})
 
-    return packed.groupBy("range").applyInArrow(count, "name long, shared long").groupBy("name").agg(F.sum("shared").alias("shared"))
+    found = packed.groupBy("range").applyInArrow(count, "part long, names binary, shared binary")
+    return found.groupBy("part").applyInArrow(total, "name long, shared long")
 
 
 def sets_of(df: DataFrame, words: int) -> DataFrame:
@@ -281,7 +295,8 @@ def jaccard_groups(
     some = found.where(F.col("class").isNotNull())
     classes = some.groupBy("class").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"))
     total = some.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = shared_counts(ranges(docs, words, max(1, -(-total // RANGE))))
+    count = max(1, -(-total // RANGE))
+    shared = shared_counts(ranges(docs, words, count), -(-count // 4))
     named = classes.where(F.col("id").isNotNull()).withColumn("name", name_of(F.col("class")))
     may = materialize(named.join(shared, "name").where(F.col("shared") >= least_overlap(F.col("n"), percent)).select("class", "id", "n"), "may")
 
@@ -309,8 +324,8 @@ def jaccard_groups(
     known = materialize(
         meet.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "known"
     )
-    count = known.groupBy("block", "root").agg(F.count("*").alias("c"))
-    main = count.groupBy("block").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("block", F.col("m.root").alias("main"))
+    sizes = known.groupBy("block", "root").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("block").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("block", F.col("m.root").alias("main"))
     open_ = known.join(main, "block")
     again = open_.withColumn("searcher", F.lit(False)).unionByName(open_.where("root <> main").withColumn("searcher", F.lit(True)))
     more = materialize(search(again.select("block", "class", "n", "root", "searcher"), tokens, percent), "links")
