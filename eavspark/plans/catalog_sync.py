@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eavspark.buckets import read_buckets, sync_buckets, write_buckets
 from eavspark.operators import routing
 from eavspark.operators import sync as Y
 from eavspark.plans import star
 from eavspark.plans.catalog_grid import NUMBERED
 from eavspark.plans.registry import query
+from eavspark.schemas import VALUE_KEY
+from eavspark.session import scratch_path
 from eavspark.store import conform
 
 # one tenth of the customers was processed; of their rows every fifth vanished, the
@@ -29,7 +32,8 @@ merged AS (
   FROM t FULL OUTER JOIN s ON t.entity_id = s.entity_id AND t.seq = s.seq)"""
 
 
-def _scoped(spark: SparkSession, sf_dir: str) -> Y.Synced:
+def _scoped(spark: SparkSession, sf_dir: str):
+    """Stored order totals, what was staged, and the entities processed."""
     orders = star.numbered_orders(spark, sf_dir)
     target = conform(
         orders.select("entity_id", F.lit(star.TOTAL).alias("attribute_id"), "seq",
@@ -41,22 +45,27 @@ def _scoped(spark: SparkSession, sf_dir: str) -> Y.Synced:
         "value", F.when(F.col("seq") % 2 == 1, F.col("value") + 1).otherwise(F.col("value")))
     added = processed.where("seq = 1").withColumn("seq", F.lit(100000).cast("bigint")).withColumn(
         "value", F.lit(5.0))
-    return Y.sync(target, changed.unionByName(added), ["entity_id", "attribute_id", "seq"], scope)
+    return target, changed.unionByName(added), scope
 
 
 @query(_STAGED + """
 SELECT entity_id, CAST(102 AS SMALLINT) AS attribute_id, seq, value FROM merged
 WHERE action <> 'delete'""")
 def sync_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New snapshot of the order totals after a tenth of the customers changed."""
-    return _scoped(spark, sf_dir).snapshot
+    """The stored order totals after a tenth of the customers changed, bucket by bucket."""
+    target, staged, scope = _scoped(spark, sf_dir)
+    path = scratch_path(spark, "totals")
+    write_buckets(target, path, "value_numbers")
+    sync_buckets(spark, path, "value_numbers", staged, scope)
+    return read_buckets(spark, path, "value_numbers")
 
 
 @query(_STAGED + """
 SELECT action, entity_id, CAST(102 AS SMALLINT) AS attribute_id, seq FROM merged
 WHERE action <> 'keep'""")
 def sync_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scoped(spark, sf_dir).change_log
+    target, staged, scope = _scoped(spark, sf_dir)
+    return Y.sync(target, staged, VALUE_KEY, scope).change_log
 
 
 @query("""WITH t AS (SELECT c_custkey + 1 AS id, c_name AS name,

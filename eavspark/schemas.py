@@ -81,6 +81,8 @@ SCHEMAS: dict[str, StructType] = {
         ("id", _SHORT), ("user_name", _TEXT, True), ("menu_id", _SHORT), ("entity_type_id", _SHORT),
         ("id_line_view_id", _SHORT), ("index_type_id", _SHORT),
     ),
+    # when the values of an entity were last loaded: its time of update then
+    "loads": _struct(("entity_id", _ID), ("updated", TimestampNTZType())),
     "value_texts": _values("value", _TEXT),
     "value_long_texts": _values("value", _TEXT),
     "value_numbers": _values("value", _NUM),
@@ -94,9 +96,12 @@ VALUE_KEY = ["entity_id", "attribute_id", "seq"]
 
 VALUE_TABLES = [name for name in SCHEMAS if name.startswith("value_")]
 
+BY_ENTITY = [*VALUE_TABLES, "loads"]  # stored in buckets of entities
+
 KEYS: dict[str, list[str]] = {
     **{name: ["id"] for name in SCHEMAS},
     **{name: VALUE_KEY for name in VALUE_TABLES},
+    "loads": ["entity_id"],
     "indexes": ["index_type_id", "term", "entity_id"],
     "view_attributes": ["view_id", "seq"],
     "view_captions": ["view_id", "seq"],

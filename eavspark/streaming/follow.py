@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eavspark.buckets import sync_buckets
 from eavspark.operators.sync import sync
-from eavspark.schemas import KEYS, SCHEMAS
+from eavspark.schemas import BY_ENTITY, KEYS, SCHEMAS
 from eavspark.snapshots import Snapshots
 
 
@@ -33,6 +34,10 @@ def follow(
         rest = [c for c in batch.columns if c not in keys]
         once = batch.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
         store = snaps.current()
+        if scoped and table in BY_ENTITY and store.holds(table):
+            # only the buckets of the batch's entities are read and replaced
+            sync_buckets(spark, snaps.paths()[table], table, once, batch.select("entity_id"))
+            return
         scope = batch.select("entity_id").distinct() if scoped else None
         result = sync(store[table], once, keys, scope)
         snaps.publish({table: snaps.write(table, result.snapshot)})
