@@ -17,11 +17,11 @@ from pyspark.sql.types import BinaryType
 from eavspark.functions.decode import BASE_DATE
 
 
-def int_bytes(value: Column, n: int) -> Column:
-    """``n`` big-endian bytes; negative values as two's complement. A value that
-    does not fit raises: the page format has no wider field."""
+def int_bytes(value: Column, n: int, *, signed: bool = True) -> Column:
+    """``n`` big-endian bytes; negative values as two's complement. A value that would
+    read back as another from a field of this sign raises: the page format has no wider field."""
     v = value.cast("bigint")
-    inside = v.between(-(1 << (8 * n - 1)), (1 << (8 * n)) - 1)
+    inside = v.between(-(1 << (8 * n - 1)), (1 << (8 * n - 1)) - 1) if signed else v.between(0, (1 << (8 * n)) - 1)
     v = F.when(inside, v).when(~inside, F.raise_error(F.concat(v, F.lit(f" does not fit in {n} bytes"))))
     return F.unhex(F.lpad(F.hex(F.when(v < 0, v + (1 << (8 * n))).otherwise(v)), 2 * n, "0"))
 
@@ -34,7 +34,8 @@ def text_bytes(value: Column, charset: str = "latin-1") -> Column:
 
 
 def fixed_text(value: Column, n: int, charset: str = "latin-1") -> Column:
-    return pad(F.substring(text_bytes(value, charset), 1, n), n)
+    """Text on ``n`` bytes, zeros behind it. Text that does not fit raises."""
+    return pad(text_bytes(value, charset), n)
 
 
 def pad(raw: Column, n: int | Column) -> Column:
@@ -52,7 +53,7 @@ def trim_zeros(raw: Column) -> Column:
 
 
 def date_bytes(value: Column) -> Column:
-    return int_bytes(F.datediff(value, F.lit(BASE_DATE).cast("date")), 2)
+    return int_bytes(F.datediff(value, F.lit(BASE_DATE).cast("date")), 2, signed=False)
 
 
 def _big_endian(numbers: pa.Array, kind: str) -> pa.Array:
@@ -82,7 +83,7 @@ def f64_bytes(value: Column) -> Column:
 
 
 def time_bytes(seconds: Column) -> Column:
-    return int_bytes(seconds.cast("bigint") * 1000, 4)
+    return int_bytes(seconds.cast("bigint") * 1000, 4, signed=False)
 
 
 def fields(length: int, *placed: tuple[int, int, Column]) -> Column:
@@ -108,8 +109,8 @@ def rle_block(item: Column, value: Column, rep: Column) -> Column:
     repeated = rep > 1
     size = F.length(value) + 3 + repeated.cast("int")
     control = size + F.when(repeated, 128).otherwise(0)
-    count = F.when(repeated, int_bytes(rep, 1)).otherwise(F.lit(b""))
-    return F.concat(int_bytes(item, 2), int_bytes(control, 1), value, count)
+    count = F.when(repeated, int_bytes(rep, 1, signed=False)).otherwise(F.lit(b""))
+    return F.concat(int_bytes(item, 2), int_bytes(control, 1, signed=False), value, count)
 
 
 def bits(*flags: tuple[int, Column]) -> Column:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from eavspark import schemas as S
 from eavspark.functions import decode as D
 from eavspark.schemas import VALUE_KEY
-from eavspark.session import broadcast_metadata
 from eavspark.store import Store
 
 SCREEN_ROWS = 18  # height of a screen, the page size where nothing else is stated
@@ -37,9 +36,21 @@ def restrict(df: DataFrame, entities: Entities, column: str = "entity_id") -> Da
 
 
 def number_text(x: Column) -> Column:
-    """Plain decimal digits without trailing zeros; six decimals at most."""
-    plain = F.regexp_replace(x.try_cast("decimal(28,6)").cast("string"), r"\.?0+$", "")
-    return F.coalesce(plain, x.cast("string"))
+    """Decimal text, without exponent, that reads back as the number."""
+    short = x.cast("string")
+    form = r"^(-?)(\d+)\.(\d+)E(-?\d+)$"
+    sign, one, rest = (F.regexp_extract(short, form, i) for i in (1, 2, 3))
+    power = F.regexp_extract(short, form, 4).try_cast("int")
+    rest = F.regexp_replace(rest, "0+$", "")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), one, rest)
+    more = power - F.length(rest)  # zeros behind the digits
+    large = F.when(more >= 0, F.concat(one, rest, F.repeat(F.lit("0"), more))).otherwise(
+        F.concat(one, F.substr(rest, F.lit(1), power), F.lit("."), F.substr(rest, power + 1))
+    )
+    # most numbers have no exponent, and these branches are not taken for them
+    return F.when(F.instr(short, "E") > 0, F.concat(sign, F.when(power < 0, small).otherwise(large))).otherwise(
+        F.regexp_replace(short, r"\.0$", "")
+    )
 
 
 def date_text(value: Column, fmt: Column) -> Column:
@@ -74,7 +85,7 @@ def display_values(
     stored in two tables (entity links, qualified numbers) are merged, which costs
     them a shuffle on the key; all others pass straight through.
     """
-    types = broadcast_metadata(attributes_of(store, attribute_ids), "attribute_id")
+    types = attributes_of(store, attribute_ids)
 
     def values(table: str) -> DataFrame:
         df = store[table]
@@ -169,7 +180,7 @@ def view_attributes(store: Store, view_id: int) -> list[tuple[int, str]]:
     """``(id, name)`` of a view's attributes, in view order."""
     placed = store["view_attributes"].where(F.col("view_id") == view_id)
     named = store["attributes"].select(F.col("id").alias("attribute_id"), "name")
-    rows = placed.join(broadcast_metadata(named, "attribute_id"), "attribute_id").select(
+    rows = placed.join(named, "attribute_id").select(
         "seq", "attribute_id", "name"
     )
     return [(r.attribute_id, r.name) for r in sorted(rows.collect(), key=lambda r: r.seq)]
@@ -220,10 +231,8 @@ def view_values(
     seqs = page_rows(page, view.n_rows or SCREEN_ROWS)
     ids = [i for i, _ in view_attributes(store, view_id)]
     values = display_values(store, ids, entities, seqs)
-    placed = broadcast_metadata(
-        store["view_attributes"].where(F.col("view_id") == view_id)
-        .select("attribute_id", F.col("seq").alias("view_seq"), "x", "y"),
-        "attribute_id",
+    placed = store["view_attributes"].where(F.col("view_id") == view_id).select(
+        "attribute_id", F.col("seq").alias("view_seq"), "x", "y"
     )
     return _dated(store, values, view.table_id, entities, seqs).join(
         placed, "attribute_id"

@@ -196,7 +196,7 @@ def range_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT -(s_suppkey + 1) AS id, CAST(-1 AS SMALLINT) AS lookup_type_id,
        s_name AS name, '' AS code FROM supplier
 UNION ALL SELECT c_custkey + 1, CAST(c_nationkey AS SMALLINT), c_name,
-       left(c_mktsegment, 5) FROM customer""")
+       lpad(c_nationkey::VARCHAR, 5, '0') FROM customer""")
 def dict_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as dictionary pages and customers as code pages, decoded and united."""
     dictionary = star.table(spark, sf_dir, "supplier").select(
@@ -207,13 +207,13 @@ def dict_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         E.fields(
             96, (0, 80, E.fixed_text(F.col("c_name"), 80)),
             (80, 2, E.int_bytes(F.col("c_nationkey"), 2)),
-            (84, 5, E.fixed_text(F.col("c_mktsegment"), 5)),
+            (84, 5, E.fixed_text(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), 5)),
         ).alias("bytes"))
     return M.lookups(L.project(dictionary, "DICT"), L.project(codes, "CODES"))
 
 
 @query("""SELECT p_partkey + 1 AS menu_id, b AS seq,
-       left(CASE WHEN (p_size + b) % 3 = 0 THEN '' ELSE p_name END, 12) AS name, 'SCRN' AS function,
+       CASE WHEN (p_size + b) % 3 = 0 THEN '' ELSE p_name END AS name, 'SCRN' AS function,
        p_size AS next_menu_id, b AS start_menu_id, p_size AS parameter1, -p_size AS parameter2,
        0 AS parameter3, 7 AS parameter4
 FROM (SELECT *, unnest([0, 1, 2]) AS b FROM part) WHERE (p_size + b) % 3 <> 0""")

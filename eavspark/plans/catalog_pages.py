@@ -32,9 +32,11 @@ def decode_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.concat(
-            E.int_bytes(key % 200, 1), E.int_bytes(key % 200 - 100, 1), E.int_bytes(cust, 2),
-            E.int_bytes(cust - 32768, 2), E.int_bytes(key, 4), E.int_bytes(-key, 4),
-            F.unhex(F.concat(*[F.substring(F.hex(E.int_bytes(key, 4)), i, 2) for i in (7, 5, 3, 1)])),
+            E.int_bytes(key % 200, 1, signed=False), E.int_bytes(key % 200 - 100, 1),
+            E.int_bytes(cust, 2, signed=False), E.int_bytes(cust - 32768, 2),
+            E.int_bytes(key, 4, signed=False), E.int_bytes(-key, 4),
+            F.unhex(F.concat(*[
+                F.substring(F.hex(E.int_bytes(key, 4, signed=False)), i, 2) for i in (7, 5, 3, 1)])),
         ).alias("b"))
     b = F.col("b")
     return raw.select(
@@ -65,7 +67,7 @@ def decode_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM lineitem""")
 def decode_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = E.date_bytes(F.col("l_shipdate"))
-    millis = E.int_bytes(F.col("l_partkey") * 1001 % 86_400_000, 4)
+    millis = E.int_bytes(F.col("l_partkey") * 1001 % 86_400_000, 4, signed=False)
     extra = F.floor(F.col("l_partkey") * 1001 / 86_400_000)
     rows = star.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", days.alias("d"),
@@ -90,7 +92,7 @@ def decode_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 10 == 1, D.TIME_POST)
         .when(F.col("event_id") % 10 == 2, D.TIME_MIDNIGHT).otherwise(millis))
     raw = star.table(spark, sf_dir, "events").select(
-        "event_id", E.trim_zeros(E.int_bytes(code, 4)).alias("v"))
+        "event_id", E.trim_zeros(E.int_bytes(code, 4, signed=False)).alias("v"))
     clock = D.uint(D.rpad_bytes(F.col("v"), 4))
     midnight = clock == D.TIME_MIDNIGHT
     return raw.select(
@@ -199,8 +201,8 @@ def _captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.transform(
         lines,
         lambda line, i: F.concat(
-            F.lit(bytes([B.DELIMITER])), E.int_bytes(i % 250 + 1, 1),
-            E.int_bytes(F.floor(i / 250) % 250 + 1, 1), E.text_bytes(line)))
+            F.lit(bytes([B.DELIMITER])), E.int_bytes(i % 250 + 1, 1, signed=False),
+            E.int_bytes(F.floor(i / 250) % 250 + 1, 1, signed=False), E.text_bytes(line)))
     pages = star.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("page_id"), F.concat(E.join_blocks(page), F.lit(bytes(9))).alias("bytes"))
     return B.delimited_blocks(pages)
@@ -461,7 +463,7 @@ def value_system(spark: SparkSession, sf_dir: str):
         E.fields(
             64, (1, 1, E.int_bytes(F.lit(1), 1)),
             (32, 4, E.int_bytes(F.col("c_custkey") % 86400 * 1000, 4)),
-            (36, 2, E.int_bytes(F.lit(60000), 2)),
+            (36, 2, E.int_bytes(F.lit(60000), 2, signed=False)),
         ).alias("bytes"))
     types = star.fields(spark)
     items = types.select(

@@ -218,13 +218,13 @@ def order_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(total)
     static = _rows(
         segments, F.lit(1), "v", (NAME, E.text_bytes(F.col("c_name"))),
-        (BALANCE, E.f64_bytes(F.col("c_acctbal"))), (SEGMENT, E.int_bytes(F.col("code"), 2)),
+        (BALANCE, E.f64_bytes(F.col("c_acctbal"))), (SEGMENT, E.int_bytes(F.col("code"), 2, signed=False)),
         (NATION, E.int_bytes(F.col("c_nationkey") + 1, 4)),
     )
     dated = _rows(
         states, F.col("seq"), "v",
         (ORDER_DATE, E.date_bytes(F.col("o_orderdate"))), (TOTAL, total),
-        (STATUS, E.int_bytes(F.col("code"), 2)),
+        (STATUS, E.int_bytes(F.col("code"), 2, signed=False)),
         (PRIORITY, E.text_bytes(F.col("o_orderpriority"))),
         (ORDER_KEY, E.int_bytes(F.col("o_orderkey"), 4)),
     )

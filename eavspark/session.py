@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -57,15 +56,3 @@ def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFram
         for c, f in zip(columns, fields, strict=True)
     ]
     return spark.createDataFrame(pa.table(arrays, names=names), schema=fields)
-
-
-MAX_ID = (1 << 16) - 1  # metadata ids are 16-bit in every page that refers to them
-
-
-def broadcast_metadata(df: DataFrame, id_column: str) -> DataFrame:
-    """Broadcast a metadata table with one row per id.
-
-    Other pages name metadata by 16-bit fields, so ids beyond them can match nothing
-    and are left out: what is broadcast has at most 65,535 rows (and as many for the
-    negative ids of static tables), whatever the size of the data."""
-    return F.broadcast(df.where(F.col(id_column).between(-MAX_ID, MAX_ID)))

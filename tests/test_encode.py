@@ -8,7 +8,7 @@ from eavspark.functions import encode as E
 
 def test_what_fits_is_laid_out(spark):
     row = spark.range(1).select(
-        E.int_bytes(F.lit(65535), 2).alias("a"), E.int_bytes(F.lit(-32768), 2).alias("b"),
+        E.int_bytes(F.lit(65535), 2, signed=False).alias("a"), E.int_bytes(F.lit(-32768), 2).alias("b"),
         E.pad(F.lit(b"ab"), 4).alias("c"), E.pad(F.lit(b"ab"), F.lit(3)).alias("d"),
         E.int_bytes(F.lit(None), 2).alias("e"), E.pad(F.lit(None).cast("binary"), 2).alias("f"),
     ).first()
@@ -16,7 +16,9 @@ def test_what_fits_is_laid_out(spark):
 
 
 @pytest.mark.parametrize("made", [
-    lambda i: E.int_bytes(i + 65536, 2), lambda i: E.int_bytes(i - 32769, 2), lambda i: E.int_bytes(i - 3_000_000_000, 4),
+    lambda i: E.int_bytes(i + 32768, 2), lambda i: E.int_bytes(i + (1 << 31), 4),
+    lambda i: E.int_bytes(i - 1, 2, signed=False), lambda i: E.int_bytes(i + 65536, 2, signed=False),
+    lambda i: E.fixed_text(F.concat(i, F.lit("abc")), 3), lambda i: E.int_bytes(i - 32769, 2), lambda i: E.int_bytes(i - 3_000_000_000, 4),
     lambda i: E.pad(E.text_bytes(F.concat(i, F.lit("abc"))), 3),
     lambda i: E.pad(E.text_bytes(F.concat(i, F.lit("abc"))), F.lit(3)),
     lambda i: E.fields(8, (0, 2, E.text_bytes(F.concat(i, F.lit("abc"))))),
