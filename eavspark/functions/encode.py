@@ -105,11 +105,11 @@ def join_blocks(blocks: Column) -> Column:
 
 
 def rle_block(item: Column, value: Column, rep: Column) -> Column:
-    """One run-length block: item, control byte, value, count where repeated."""
+    """One run-length block: item, control byte, value, count where repeated (0 means 256)."""
     repeated = rep > 1
     size = F.length(value) + 3 + repeated.cast("int")
     control = size + F.when(repeated, 128).otherwise(0)
-    count = F.when(repeated, int_bytes(rep, 1, signed=False)).otherwise(F.lit(b""))
+    count = F.when(repeated, int_bytes(F.when(rep != 256, rep).otherwise(0), 1, signed=False)).otherwise(F.lit(b""))
     return F.concat(int_bytes(item, 2), int_bytes(control, 1, signed=False), value, count)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from eavspark.plans import (  # noqa: F401 - register on import
     catalog_grid,
+    catalog_kinds,
     catalog_meta,
     catalog_pages,
     catalog_sync,
