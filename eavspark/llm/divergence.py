@@ -1,133 +1,322 @@
 """Source divergence audit by iceberg prefix refinement.
 
-The texts are read once into an inverted table: per chunk of documents, language and
-source, the terms that share a byte prefix, with their documents and occurrences. Level
-by level the prefixes grow. Each level adds up, per language, the distinct documents
-behind every prefix; prefixes below the threshold are discarded together with all their
-terms, and only rows of surviving prefixes are split at the next length. A term whose
-end is reached is complete, and is kept if its own documents reach the threshold. The
-levels end when no open prefix survives, so the long tail of rare terms is never
-counted, or shuffled, term by term.
+The texts are read once into packed chunks: per chunk of documents and language, every
+(term, source) with the documents that hold it and its occurrences, in term order.
+Level by level the byte prefixes grow. Each chunk tells how many distinct documents
+stand behind each of its prefixes; the sums over all chunks, taken range by range of
+the prefixes' hashes, decide which prefixes reach the threshold, and every chunk drops
+all terms behind the others. A term whose end is reached is complete, and is kept if
+its own documents reach the threshold. The levels end when no open prefix survives, so
+the long tail of rare terms is never counted, or shuffled, term by term. What a chunk
+is told of a level are the numbers of its own prefixes that survive: nothing of the
+vocabulary is broadcast.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
+import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import groupby
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavspark.llm.common import counted_terms, small_slices
+from eavspark.llm.common import arrow_schema, counted_terms, small_slices
 from eavspark.session import materialize
 
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
-CHUNK_ENTRIES = 1 << 21  # (document, term) entries that a task holds before it writes them
+CHUNK_ENTRIES = 1 << 20  # (document, term) entries that a task holds before it writes them
+RANGE = 1 << 21  # prefixes of a hash range
 CELLS = 1 << 20  # sources times terms of a block of the distance sums
-FIRST_LEVEL = 3  # bytes of the first prefixes; every level doubles the length
-
-LEVEL = "lang string, source string, prefix binary, whole boolean, docs long, n long, terms array<binary>, at array<binary>, counts array<long>"
-ARROW_LEVEL = pa.schema([
-    ("lang", pa.string()), ("source", pa.string()), ("prefix", pa.binary()), ("whole", pa.bool_()), ("docs", pa.int64()), ("n", pa.int64()),
-    ("terms", pa.list_(pa.binary())), ("at", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())),
-])
-
-
-def split(lang: str, source: str, entries: list[tuple[bytes, bytes, int]], length: int) -> Iterator[tuple]:
-    """Rows for the sorted (term, documents, occurrences) entries of one group, by prefix of ``length`` bytes.
-
-    A term no longer than that is complete and gets a row of its own; the others share
-    one row per prefix, with the number of distinct documents behind it.
-    """
-    for (prefix, whole), some in groupby(entries, key=lambda e: (e[0][:length], len(e[0]) <= length)):
-        some = list(some)
-        if whole:
-            (_, docs, n), = some
-            yield lang, source, prefix, True, len(docs) // 4, n, None, None, None
-        else:
-            docs = len(some[0][1]) // 4 if len(some) == 1 else len(np.unique(np.frombuffer(b"".join(e[1] for e in some), np.uint32)))
-            yield lang, source, prefix, False, docs, sum(e[2] for e in some), *map(list, zip(*some, strict=True))
-
-
-def _batches(rows: Iterator[tuple], size: int = 8192) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield _batch(held)
-            held = []
-    yield _batch(held)
-
-
-def _batch(held: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*held, strict=True)) or [()] * len(ARROW_LEVEL)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW_LEVEL, strict=True)], schema=ARROW_LEVEL)
-
-
-def first_level(docs: DataFrame) -> DataFrame:
-    """The inverted table of (lang, source, text), split at the first length."""
-
-    def chunk(held: dict) -> Iterator[tuple]:
-        for (lang, source), terms in held.items():
-            yield from split(lang, source, [(t, a.tobytes(), n) for t, (n, a) in sorted(terms.items())], FIRST_LEVEL)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        held: dict[tuple[str, str], dict[bytes, list]] = {}
-        entries = document = 0
-        for batch in batches:
-            for part in small_slices(iter([batch]), "text"):
-                for lang, source, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    found = counted_terms(data, TERM, GAP)
-                    terms = held.setdefault((lang, source), {})
-                    for t, n in found.items():
-                        e = terms.get(t)
-                        if e is None:
-                            terms[t] = [n, array("I", (document,))]
-                        else:
-                            e[0] += n
-                            e[1].append(document)
-                    document += 1
-                    entries += len(found)
-                    if entries > CHUNK_ENTRIES:
-                        yield from chunk(held)
-                        held, entries, document = {}, 0, 0
-        yield from chunk(held)
-
-    return docs.select("lang", "source", "text").mapInArrow(lambda batches: _batches(rows(batches)), LEVEL)
-
-
-def next_level(table: DataFrame, length: int) -> DataFrame:
-    """The open rows of a level, split at a greater length."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                for r in batch.slice(start, 256).to_pylist():
-                    yield from split(r["lang"], r["source"], list(zip(r["terms"], r["at"], r["counts"], strict=True)), length)
-
-    return table.select(ARROW_LEVEL.names).mapInArrow(lambda batches: _batches(rows(batches)), LEVEL)
+FIRST_LEVEL = 4  # bytes of the first prefixes; every level doubles the length
+
+CHUNK = "chunk long, lang string, entries long, sources string, terms binary, sizes binary, source binary, docs binary, held binary, n binary"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up in the fewest bytes each, behind one byte that tells how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1)
+
+
+class Chunk:
+    """The (term, source) entries of one chunk and language, by term."""
+
+    def __init__(self, row: dict) -> None:
+        self.chunk, self.lang, self.sources = row["chunk"], row["lang"], row["sources"]
+        self.terms = np.frombuffer(row["terms"], np.uint8)
+        self.sizes, self.held, self.n = (unpacked(row[c]).astype(np.int64) for c in ("sizes", "held", "n"))
+        self.source, self.docs = unpacked(row["source"]), unpacked(row["docs"])
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+
+    def groups(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each entry's prefix of ``length`` bytes, and whether the entry's term is complete.
+
+        Complete terms are prefixes of their own."""
+        whole = self.sizes <= length
+        new = np.ones(len(whole), bool)
+        new[1:] = whole[1:] != whole[:-1]
+        block = max(2, (1 << 21) // length)
+        place = np.arange(length)
+        for at in range(0, len(whole), block - 1):  # blocks share an entry
+            start, size = self.starts[at : at + block, None], self.sizes[at : at + block, None]
+            found = np.where(place < size, self.terms[np.minimum(start + place, len(self.terms) - 1)], 0)
+            new[at + 1 : at + block] |= (found[1:] != found[:-1]).any(axis=1)
+        return np.cumsum(new) - 1, whole
+
+    def documents(self, group: np.ndarray, length: int) -> np.ndarray:
+        """Distinct documents behind each prefix of ``length`` bytes."""
+        entries = np.bincount(group)
+        # the documents of one term differ from source to source; only other terms share some
+        alone = (entries == 1)[group] | (self.sizes <= length)
+        out = np.zeros(len(entries), np.int64)
+        np.add.at(out, group[alone], self.held[alone])
+        mixed = np.repeat(np.where(alone, -1, group), self.held)
+        some = mixed >= 0
+        pairs = np.unique(mixed[some] << 32 | self.docs[some].astype(np.int64))
+        return out + np.bincount(pairs >> 32, minlength=len(entries))
+
+    def beyond(self, length: int) -> Chunk:
+        """Without the terms of at most ``length`` bytes."""
+        keep = self.sizes > length
+        return self if keep.all() else Chunk(dict(zip(arrow_schema(CHUNK).names, self.row(keep), strict=True)))
+
+    def row(self, keep: np.ndarray) -> tuple:
+        """As a row, with the entries of ``keep`` alone."""
+        take = lambda data, some: data[np.repeat(keep, some)]
+        return (
+            self.chunk, self.lang, int(keep.sum()), self.sources, take(self.terms, self.sizes).tobytes(), packed(self.sizes[keep]),
+            packed(self.source[keep]), packed(take(self.docs, self.held)), packed(self.held[keep]), packed(self.n[keep]),
+        )
+
+
+class Gathered:
+    """Documents of one language, gathered before they become a chunk."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}  # of terms
+        self.sources: dict[str, int] = {}
+        self.terms, self.counts, self.sizes, self.of = (array("I") for _ in range(4))
+
+    def add(self, source: str, found: dict[bytes, int]) -> None:
+        numbers = self.numbers
+        self.terms.extend([numbers.setdefault(t, len(numbers)) for t in found])
+        self.counts.extend(found.values())
+        self.sizes.append(len(found))
+        self.of.append(self.sources.setdefault(source, len(self.sources)))
+
+    def row(self, lang: str) -> tuple:
+        terms, counts, sizes, of = (np.frombuffer(a, np.uint32) for a in (self.terms, self.counts, self.sizes, self.of))
+        names = sorted(self.numbers)
+        rank = np.empty(len(names), np.int64)
+        rank[[self.numbers[t] for t in names]] = np.arange(len(names))
+        doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+        key = rank[terms] * len(self.sources) + of[doc]
+        order = np.argsort(key, kind="stable")  # documents ascend within an entry
+        key, doc = key[order], doc[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        term, source = np.divmod(key[first], len(self.sources))
+        lengths = np.array([len(t) for t in names], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        size = lengths[term]
+        ends = np.cumsum(size)
+        data = np.frombuffer(b"".join(names), np.uint8)
+        at = np.repeat(starts[term] - (ends - size), size) + np.arange(int(ends[-1]))
+        return (
+            uuid.uuid4().int >> 65, lang, len(first), json.dumps(list(self.sources)), data[at].tobytes(), packed(size),
+            packed(source), packed(doc), packed(np.diff(first, append=len(doc))),
+            packed(np.add.reduceat(counts[order].astype(np.int64), first)),
+        )
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    schema = arrow_schema(ddl)
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """The texts of (lang, source, text) as packed chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Gathered] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, some in held.items():
+                if some.numbers:
+                    yield _batch([some.row(lang)], CHUNK)
+            held.clear()
+
+        for part in small_slices(batches, "text"):
+            for lang, source, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                held.setdefault(lang, Gathered()).add(source, counted_terms(data, TERM, GAP))
+                if sum(len(g.terms) for g in held.values()) > CHUNK_ENTRIES:
+                    yield from flush()
+        yield from flush()
+
+    return docs.select("lang", "source", "text").mapInArrow(run, CHUNK)
+
+
+def dealt(table: DataFrame, length: int, done: int, ranges: int) -> DataFrame:
+    """Every chunk's prefixes, dealt by their hash: the hashes (lowest bit: complete), the
+    prefixes' numbers in the chunk, and their distinct documents. Terms complete at
+    ``done`` bytes are passed over."""
+    ddl = "range long, chunk long, hashes binary, numbers binary, docs binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            c = Chunk(row).beyond(done)
+            if not len(c.sizes):
+                continue
+            group, whole = c.groups(length)
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            terms, salt = c.terms.tobytes(), blake2b(c.lang.encode(), digest_size=16).digest()
+            ends = np.minimum(c.ends, c.starts + length)
+            digests = b"".join([
+                blake2b(terms[a:b], digest_size=8, salt=salt).digest() for a, b in zip(c.starts[first].tolist(), ends[first].tolist(), strict=True)
+            ])
+            hashes = np.frombuffer(digests, np.uint64) & ~np.uint64(1) | whole[first].astype(np.uint64)
+            where = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(where, kind="stable")
+            docs = c.documents(group, length).astype(np.uint32)
+            cuts = np.flatnonzero(np.diff(where[order], prepend=-1))
+            yield _batch([
+                (int(where[some[0]]), c.chunk, hashes[some].tobytes(), some.astype(np.uint32).tobytes(), docs[some].tobytes())
+                for some in np.split(order, cuts[1:])
+            ], ddl)
+
+    return table.mapInArrow(run, ddl)
+
+
+def decided(told: DataFrame, least: int) -> DataFrame:
+    """(chunk, numbers, open): the numbers of each chunk's prefixes that ``least`` documents stand behind."""
+
+    def run(table: pa.Table) -> pa.Table:
+        chunk = table.column("chunk").to_pylist()
+        hashes, numbers, docs = (
+            [np.frombuffer(b, kind) for b in table.column(name).to_pylist()] for name, kind in (("hashes", np.uint64), ("numbers", np.uint32), ("docs", np.uint32))
+        )
+        names, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        total = np.zeros(len(names), np.int64)
+        np.add.at(total, which, np.concatenate(docs))
+        alive = np.split(total[which] >= least, np.cumsum([len(h) for h in hashes])[:-1])
+        rows = [(c, n[a].tobytes(), bool((h[a] & np.uint64(1) == 0).any())) for c, n, h, a in zip(chunk, numbers, hashes, alive, strict=True) if a.any()]
+        return pa.Table.from_batches([_batch(rows, "chunk long, numbers binary, open boolean")])
+
+    return told.groupBy("range").applyInArrow(run, "chunk long, numbers binary, open boolean")
+
+
+def surviving(table: DataFrame, told: DataFrame, length: int, done: int) -> DataFrame:
+    """The chunks without the entries of discarded prefixes, and without terms complete
+    at ``done`` bytes, which earlier levels have told; none that are empty."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.Table.from_batches([_batch([], CHUNK)])
+        c = Chunk(left.to_pylist()[0]).beyond(done)
+        group, _ = c.groups(length)
+        alive = np.zeros(int(group[-1]) + 1, bool)
+        alive[np.frombuffer(b"".join(right.column("numbers").to_pylist()), np.uint32)] = True
+        return pa.Table.from_batches([_batch([c.row(alive[group])], CHUNK)])
+
+    return table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, CHUNK)
+
+
+def complete(table: DataFrame, length: int, ranges: int) -> DataFrame:
+    """The entries whose terms are complete at ``length`` bytes, dealt by the terms' hash;
+    each term is written once, where ``first`` marks its first entry."""
+    ddl = "range long, lang string, sources string, terms binary, sizes binary, first binary, source binary, held binary, n binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            c = Chunk(row)
+            done = np.flatnonzero(c.sizes <= length)
+            if not len(done):
+                continue
+            group = c.groups(length)[0][done]
+            first = np.diff(group, prepend=-1) != 0
+            data, heads = c.terms.tobytes(), done[first]
+            where = np.array([zlib.crc32(data[a:b]) * ranges >> 32 for a, b in zip(c.starts[heads].tolist(), c.ends[heads].tolist(), strict=True)])
+            where = where[np.cumsum(first) - 1]
+            order = np.argsort(where, kind="stable")
+            cuts = np.flatnonzero(np.diff(where[order])) + 1
+            out = []
+            for some in np.split(order, cuts):
+                keep, once = done[some], done[some[first[some]]]
+                sizes = c.sizes[once]
+                at = np.repeat(c.starts[once] - (np.cumsum(sizes) - sizes), sizes)
+                out.append((
+                    int(where[some[0]]), c.lang, c.sources, c.terms[at + np.arange(len(at))].tobytes(), packed(sizes),
+                    packed(first[some].astype(np.uint8)), packed(c.source[keep]), packed(c.held[keep]), packed(c.n[keep]),
+                ))
+            yield _batch(out, ddl)
+
+    return table.mapInArrow(run, ddl)
+
+
+def counted(entries: DataFrame, least: int) -> DataFrame:
+    """(lang, source, term, n) of the complete terms that ``least`` documents of their language hold."""
+    ddl = "lang string, source string, term binary, n long"
+
+    def run(table: pa.Table) -> pa.Table:
+        terms: dict[tuple[str, bytes], int] = {}
+        groups: dict[tuple[str, str], int] = {}
+        parts = []
+        for row in _rows(table.to_batches()):
+            lang, data = row["lang"], row["terms"]
+            own = np.array([groups.setdefault((lang, s), len(groups)) for s in json.loads(row["sources"])], np.int64)
+            ends = np.cumsum(unpacked(row["sizes"]).astype(np.int64)).tolist()
+            ids = np.array([terms.setdefault((lang, data[a:b]), len(terms)) for a, b in zip([0, *ends], ends, strict=False)], np.int64)
+            ids = ids[np.cumsum(unpacked(row["first"]).astype(np.int64)) - 1]
+            parts.append((ids, own[unpacked(row["source"])], *(unpacked(row[c]).astype(np.int64) for c in ("held", "n"))))
+        ids, group, held, n = (np.concatenate(p) for p in zip(*parts, strict=True))
+        docs = np.zeros(len(terms), np.int64)
+        np.add.at(docs, ids, held)
+        some = docs[ids] >= least
+        key, which = np.unique(ids[some] * len(groups) + group[some], return_inverse=True)
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, which, n[some])
+        names, places = list(terms), list(groups)
+        rows = [(*places[k % len(groups)], names[k // len(groups)][1], t) for k, t in zip(key.tolist(), total.tolist(), strict=True)]
+        return pa.Table.from_batches([_batch(rows, ddl)])
+
+    return entries.groupBy("range").applyInArrow(run, ddl)
 
 
 def kept_terms(docs: DataFrame, least: int) -> DataFrame:
     """(lang, source, term, n): occurrences of every term found in ``least`` documents of its language or more."""
-    length = FIRST_LEVEL
-    table = materialize(first_level(docs), "level")
-    kept = None
+    length, done = FIRST_LEVEL, 0
+    table = materialize(chunks(docs), "chunks")
+    ranges, found = 0, None
     while True:
-        counts = table.groupBy("lang", "prefix", "whole").agg(F.sum("docs").alias("d")).where(F.col("d") >= least)
-        alive = materialize(counts.select("lang", "prefix", "whole"), "alive")
-        some = table.join(alive, ["lang", "prefix", "whole"], "left_semi")
-        whole = some.where("whole").groupBy("lang", "source", F.col("prefix").alias("term")).agg(F.sum("n").alias("n"))
-        kept = whole if kept is None else kept.unionByName(whole)
-        if alive.where(~F.col("whole")).isEmpty():
-            return kept
-        length *= 2
-        table = materialize(next_level(some.where(~F.col("whole")), length), "level")
+        now = max(1, -(-(table.agg(F.sum("entries")).first()[0] or 0) // RANGE))
+        ranges = ranges or now
+        told = materialize(decided(dealt(table, length, done, now), least), "prefixes")
+        table = materialize(surviving(table, told, length, done), "chunks")
+        terms = complete(table, length, ranges)
+        found = terms if found is None else found.unionByName(terms)
+        if told.where("open").isEmpty():
+            # prefixes are told apart by hashes; here the terms themselves decide
+            return counted(found, least)
+        length, done = 2 * length, length
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
