@@ -1,9 +1,10 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
-Labelled texts become weighted counts of hashed byte trigrams, and a singular value
-decomposition of them gives the latent space. Every document is projected into that
-space, its cosine to every labelled vector is computed exactly, in blocks, and the
-nearest neighbours vote for their labels with their similarity as weight.
+Labelled texts become weighted counts of hashed byte trigrams, and their leading
+singular vectors, found by subspace iteration, span the latent space. Every document is
+projected into that space, its cosine to every labelled vector is computed exactly, in
+blocks, and the nearest neighbours vote for their labels with their similarity as weight.
+Of equally near neighbours at the edge any may vote; a table's rows do not change that.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ class Model:
         near = self.project(found) @ self.vectors.T
         k = min(self.k, near.shape[1])
         at = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(near, at, axis=1), 0, 1).astype(np.float64) ** 4
+        weight = np.clip(np.take_along_axis(near, at, axis=1), 0, 1).astype(np.float64)
         total = weight.sum(axis=1)
         share = (weight * self.labels[at]).sum(axis=1)
         prior = float(self.labels.mean())
@@ -79,23 +80,45 @@ def fit(
     def vectors(batches):
         for part in rows(batches, "_t"):
             names = part.schema.names
-            found = [counts(t).tobytes() for t in part.column(names.index("_t")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(names.index("_id")), part.column(names.index("_y")), pa.array(found, pa.binary())], names=["_id", "_y", "_v"])
+            found = [counts(t) for t in part.column(names.index("_t")).to_pylist()]
+            some = [np.flatnonzero(f).astype(np.uint16) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(names.index("_id")), part.column(names.index("_y")), pa.array([i.tobytes() for i in some], pa.binary()),
+                 pa.array([f[i].tobytes() for f, i in zip(found, some, strict=True)], pa.binary())],
+                names=["_id", "_y", "_at", "_v"],
+            )
 
     kind = have.schema["_id"].dataType.simpleString()
-    got = have.mapInArrow(vectors, f"_id {kind}, _y int, _v binary").orderBy(F.xxhash64("_id"), F.xxhash64("_v")).limit(limit).collect()
+    chosen = have.mapInArrow(vectors, f"_id {kind}, _y int, _at binary, _v binary").orderBy(F.xxhash64("_id"), F.xxhash64("_at", "_v")).limit(limit)
+    got = chosen.select("_y", "_at", "_v").collect()  # at most ``limit`` sparse rows
     y = np.array([r["_y"] for r in got], np.float64)
-    x = np.array([np.frombuffer(r["_v"], np.float32) for r in got], np.float32).reshape(len(got), TERMS)
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    w = np.log1p(x) * idf
+    w = np.zeros((len(got), TERMS), np.float32)
+    for row, r in zip(w, got, strict=True):
+        row[np.frombuffer(r["_at"], np.uint16)] = np.frombuffer(r["_v"], np.float32)
+    del got
+    idf = np.log((1 + len(w)) / (1 + np.count_nonzero(w, axis=0))).astype(np.float32) + np.float32(0.1)
+    np.log1p(w, out=w)
+    w *= idf
     w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
-    axes = np.zeros((TERMS, 1), np.float32)
-    if len(w):
-        values, around = np.linalg.eigh((w.T @ w).astype(np.float32))
-        axes = np.ascontiguousarray(around[:, ::-1][:, : min(rank, len(w))])
-    model = Model(idf, axes, np.zeros((0, axes.shape[1]), np.float32), y, k)
-    model.vectors = model.project(x)
-    return model
+    axes = leading(w, min(rank, len(w)))
+    v = w @ axes
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return Model(idf, axes, v, y, k)
+
+
+def leading(w: np.ndarray, rank: int, spare: int = 16, rounds: int = 12) -> np.ndarray:
+    """The leading right singular vectors of ``w``, by subspace iteration on a block of columns.
+
+    Only blocks of ``rank + spare`` columns are held beside ``w``."""
+    width = min(rank + spare, *w.shape) if len(w) else 0
+    if not width:
+        return np.zeros((w.shape[1], 1), np.float32)
+    block = np.random.default_rng(5).standard_normal((w.shape[1], width)).astype(np.float32)
+    for _ in range(rounds):
+        block, _ = np.linalg.qr(w.T @ (w @ block))
+    small = w @ block
+    values, turn = np.linalg.eigh(small.T @ small)
+    return np.ascontiguousarray(block @ turn[:, np.argsort(-values)][:, :rank])
 
 
 def predict(
