@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eavspark.llm.common import arrow_schema, rows
-from eavspark.llm.encoding import WITH_SPACE, Encoder, groups
+from eavspark.llm.encoding import WITH_SPACE, encoder_for, groups
 from eavspark.session import materialize
 
 Pattern = tuple[tuple[int, ...], int]  # lengths in falling order, number of sequences
@@ -63,17 +64,16 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
 
 
 def _dominates(f: tuple[int, ...], g: tuple[int, ...]) -> bool:
-    """Whether g's pieces fit into bins of f's sizes (Martello and Toth)."""
-
-    def fit(rooms: tuple[int, ...], rest: tuple[int, ...]) -> bool:
-        if not rest:
-            return True
-        return any(
-            fit((*rooms[:i], r - rest[0], *rooms[i + 1 :]), rest[1:])
-            for i, r in enumerate(rooms) if r >= rest[0]
-        )
-
-    return f != g and fit(f, g)
+    """Whether g's pieces fit into bins of f's sizes (Martello and Toth).
+
+    Decided for fillings of at most three pieces, in a handful of comparisons; longer
+    ones are not said to dominate, so that the time of a step does not grow with them."""
+    if f == g or max(len(f), len(g)) > 3:
+        return False
+    return any(
+        all(sum(x for x, bin_ in zip(g, bins, strict=True) if bin_ == i) <= size for i, size in enumerate(f))
+        for bins in product(range(len(f)), repeat=len(g))
+    )
 
 
 def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
@@ -122,6 +122,14 @@ def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]
     return kept
 
 
+def _patterns(chain: tuple | None) -> list[Pattern]:
+    out = []
+    while chain is not None:
+        pattern, n, chain = chain
+        out.append((pattern, n))
+    return out
+
+
 def plan(counts: dict[int, int], capacity: int, width: int = 6, nodes: int = 6000) -> list[Pattern]:
     """Patterns that hold every counted piece, in as few sequences as the search finds.
 
@@ -149,10 +157,7 @@ def plan(counts: dict[int, int], capacity: int, width: int = 6, nodes: int = 600
         some = np.flatnonzero(left)
         if not len(some):
             if used < bins:
-                bins, best = used, []
-                while chain is not None:
-                    pattern, n, chain = chain
-                    best.append((pattern, n))
+                bins, best = used, _patterns(chain)
             continue
         size = int(some[-1])
         left[size] -= 1
@@ -197,7 +202,7 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, id_column:
     kind = df.schema[id_column].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        encoder, end = Encoder(tokenizer, WITH_SPACE), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_for(tokenizer, WITH_SPACE), np.array([end_id], "<u4").tobytes()
         task, seen, schema = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), arrow_schema(PIECES)
         for batch in rows(batches, text):
             for at, some in groups(batch.column(1).to_pylist()):

@@ -3,18 +3,22 @@
 Texts are cut where no token of either vocabulary can cross: before a run of white
 space that follows other characters. A piece's ids do not depend on its neighbours
 there, so a text's ids are its pieces' ids in a row. Pieces are met again and again;
-their ids are kept in a table of bounded size. Special tokens' strings in a text are
-ordinary text.
+their ids are kept in a table of bounded size, which a Python worker keeps from task to
+task. New pieces are encoded many at a time, joined by one of the vocabulary's added
+tokens: the tokenizer cuts a text at these first, so every piece stands alone, and the
+token's id tells where it ends.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
-KEPT = 1 << 18  # pieces kept
+KEPT = 1 << 20  # pieces kept
+JOINED = 256  # pieces encoded as one text
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"  # Unicode White_Space
 #: white space goes with the word after it (byte vocabularies), or counts for nothing
 WITH_SPACE = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
@@ -29,21 +33,53 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._pieces, self._kept, self._ids = pieces, kept, {}
+        added = self._tokenizer.get_added_tokens_decoder()
+        marks = [(i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self._mark = marks[0] if marks else None
+        self._added = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)", re.IGNORECASE)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._ids) > self._kept:
-            self._ids.clear()
         ids = self._ids
+        if len(ids) > self._kept:  # the half that came first goes
+            for piece in list(islice(ids, len(ids) // 2)):
+                del ids[piece]
         cut = [self._pieces.findall(t) for t in texts]
-        new = sorted(set().union(*cut).difference(ids))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for piece, got in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids[piece] = np.array(got.ids, "<u4").tobytes()
+        self._learn(sorted(set().union(*cut).difference(ids)))
         return [b"".join(map(ids.__getitem__, c)) for c in cut]
 
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pieces not in the table; those that hold an added token go one by one."""
+        alone = [p for p in new if self._mark is None or self._added.search(p)]
+        for piece, got in zip(alone, self._encode(alone), strict=True):
+            self._ids[piece] = got.tobytes()
+        if self._mark is None:
+            return
+        mark, text = self._mark
+        joined = [p for p in new if not self._added.search(p)]
+        runs = [joined[at : at + JOINED] for at in range(0, len(joined), JOINED)]
+        for run, got in zip(runs, self._encode([text.join(r) for r in runs]), strict=True):
+            ends = np.append(np.flatnonzero(got == mark), len(got)).tolist()
+            data, start = got.tobytes(), 0
+            for piece, end in zip(run, ends, strict=True):
+                self._ids[piece] = data[4 * start : 4 * end]
+                start = end + 1
+
+    def _encode(self, texts: list[str]):
+        for at in range(0, len(texts), 1024):
+            for got in self._tokenizer.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
+                yield np.array(got.ids, "<u4")
+
+
+_encoders: dict[tuple[str, re.Pattern], Encoder] = {}
+
+
+def encoder_for(path: str, pieces: re.Pattern) -> Encoder:
+    """The worker's own encoder of a vocabulary, with what it has learned so far."""
+    if (path, pieces) not in _encoders:
+        _encoders[path, pieces] = Encoder(path, pieces)
+    return _encoders[path, pieces]
+
 
 def groups(texts: list[bytes | None], size: int = 1 << 20):
     """(start, texts as strings) of runs of rows with about ``size`` bytes; null is empty."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eavspark.llm.common import rows
-from eavspark.llm.encoding import WITHOUT_SPACE, Encoder, groups
+from eavspark.llm.encoding import WITHOUT_SPACE, encoder_for, groups
 from eavspark.session import materialize, shared_dir
 
 BLOCK = 128
@@ -199,7 +199,7 @@ def write(
         where, root = _place(base)
         where.create_dir(root, recursive=True)
         scheme = base.removesuffix(root)
-        encoder = Encoder(tokenizer, WITHOUT_SPACE)
+        encoder = encoder_for(tokenizer, WITHOUT_SPACE)
         end = np.array([end_id], "<u4").tobytes()
         task = TaskContext.get()
         writer, listed = None, []

@@ -101,3 +101,25 @@ def test_language_of_odd_texts(spark):
     assert [got[i]["lang_pred"] for i in range(1, 7)] == ["x", "y", "und", "und", "x", "und"]
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert {r["lang_pred"] for r in langid.predict(df, {}).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_the_plain_call(vocabulary):
+    """Also with added tokens' strings in the texts, and with a table that overflows."""
+    import random
+
+    from eavspark.llm import encoding
+
+    pieces = encoding.WITH_SPACE if vocabulary.startswith("byte") else encoding.WITHOUT_SPACE
+    rng = random.Random(3)
+    words = ["a", "B", "foo", "it's", "12", "x1", "é", "é", "日本", "🙂", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "b<|endoftext|>c",
+             "</w>", "!!", "don't", "\x00", "​", "Ω", "ﬁ", *(f"w{i}" for i in range(300))]
+    gaps = [" ", "  ", "\n", "\n\n", "\t", " \n ", "\r\n", "\xa0", "　", "", "   "]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    texts += ["", " ", "\n", "a <|endoftext|> b", "<|startoftext|>", "x" * 5000]
+    plain = [ids_of(vocabulary, t) for t in texts]
+    for kept in (1 << 20, 40):
+        encoder = encoding.Encoder(token_blocks.default_tokenizer(vocabulary), pieces, kept)
+        for _ in range(2):
+            got = [np.frombuffer(b, "<u4").tolist() for at in range(0, len(texts), 50) for b in encoder(texts[at : at + 50])]
+            assert got == plain
