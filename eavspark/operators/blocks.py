@@ -60,8 +60,8 @@ def delimited_blocks(pages: DataFrame, charset: str = "ascii") -> DataFrame:
     found = F.regexp_extract_all(valid, F.lit(f"(?s).(.)(.)([^\\x{DELIMITER:02x}]*)"), F.lit(0))
     # coordinates alone, at the end of the page, are no block
     found = F.when(
-        F.length(F.element_at(found, -1)) > 3, found
-    ).otherwise(F.slice(found, F.lit(1), F.size(found) - 1))
+        F.length(F.try_element_at(found, F.lit(-1))) > 3, found
+    ).otherwise(F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))))
     pages = pages.select("page_id", found.alias("_found")).where(
         (F.size("_found") > 0) & (F.length(F.col("_found")[0]) > 4)
     )

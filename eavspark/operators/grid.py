@@ -309,13 +309,33 @@ def id_line(store: Store, entity_type_id: int, entities: Entities = None) -> Dat
 def find_entities(
     store: Store, term: str, *, prefix: bool = False, index_type_id: int | None = None
 ) -> DataFrame:
-    """Entities by search term, whole or as a prefix, without regard to case."""
-    terms = store["indexes"]
+    """Entities by search term, whole or as a prefix, without regard to case.
+
+    The stored terms are sorted by their folded form. A prefix is a half-open range of
+    it, which reaches the scan and skips files and row groups."""
+    if store.holds("terms"):
+        terms = store["terms"]
+    else:
+        terms = store["indexes"].withColumn("folded", D.fold(F.col("term")))
     if index_type_id is not None:
         terms = terms.where(F.col("index_type_id") == index_type_id)
-    folded, wanted = D.fold(F.col("term")), D.fold(F.lit(term))
-    found = F.startswith(folded, wanted) if prefix else folded == wanted
-    return terms.where(found).select("index_type_id", "term", "entity_id").distinct()
+    wanted = store.spark.createDataFrame([(term,)], "t string").select(D.fold(F.col("t"))).first()[0]
+    folded = F.col("folded")
+    if not prefix:
+        terms = terms.where(folded == wanted)
+    else:
+        terms, beyond = terms.where(folded >= wanted), after_prefix(wanted)
+        terms = terms if beyond is None else terms.where(folded < beyond)
+    return terms.select("index_type_id", "term", "entity_id").distinct()
+
+
+def after_prefix(prefix: str) -> str | None:
+    """The least text above all that start with ``prefix``; none if there is no such text."""
+    for at in range(len(prefix) - 1, -1, -1):
+        code = ord(prefix[at]) + 1
+        if code <= 0x10FFFF:
+            return prefix[:at] + chr(0xE000 if 0xD800 <= code <= 0xDFFF else code)  # no surrogates
+    return None
 
 
 def key_date_series(

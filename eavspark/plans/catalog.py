@@ -8,6 +8,7 @@ from eavspark.plans import (  # noqa: F401 - register on import
     catalog_meta,
     catalog_pages,
     catalog_sync,
+    catalog_system,
 )
 from eavspark.plans.registry import ORACLES, QUERIES
 

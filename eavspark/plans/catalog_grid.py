@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from eavspark.operators import grid, routing
 from eavspark.plans import entities as P
 from eavspark.plans import star
+from eavspark.plans.entities import term_store
 from eavspark.plans.registry import query
-from eavspark.store import Store, conform
+from eavspark.schemas import SCHEMAS
+from eavspark.session import scratch_path
+from eavspark.store import Store, conform, write_table
 
 # orders with entity and row number, newest first
 NUMBERED = """numbered AS (
@@ -114,15 +117,20 @@ _TERMS = """terms AS (
 SELECT DISTINCT * FROM terms WHERE starts_with(lower(term), 'http://th')""")
 def term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search by prefix over names and addresses, without regard to case."""
-    store = Store(spark, {"indexes": url_terms(spark, sf_dir)})
-    return grid.find_entities(store, "HTTP://Th", prefix=True)
+    return grid.find_entities(_term_store(spark, sf_dir), "HTTP://Th", prefix=True)
+
+
+def _term_store(spark: SparkSession, sf_dir: str) -> Store:
+    """The terms, stored in the order they are searched by."""
+    path = scratch_path(spark, "terms")
+    write_table(term_store(url_terms(spark, sf_dir)), path, "terms")
+    return Store(spark, {"terms": spark.read.schema(SCHEMAS["terms"]).parquet(path)})
 
 
 @query(f"""WITH {_TERMS}
 SELECT DISTINCT * FROM terms WHERE lower(term) = 'customer#000000042' AND index_type_id = 1""")
 def term_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = Store(spark, {"indexes": url_terms(spark, sf_dir)})
-    return grid.find_entities(store, "CUSTOMER#000000042", index_type_id=1)
+    return grid.find_entities(_term_store(spark, sf_dir), "CUSTOMER#000000042", index_type_id=1)
 
 
 @query("""SELECT c_custkey + 1 AS id, CAST(1 AS SMALLINT) AS entity_type_id,

@@ -1,7 +1,7 @@
 """Metadata tables derived from their page files.
 
 Ids of metadata are 16-bit, so these frames are small in production; nothing below
-relies on it except where a broadcast says so. Rules are joins and aggregates; a
+relies on it. Rules are joins and aggregates; a
 "first by id" rule is a ``min_by``, which combines before it shuffles.
 """
 
@@ -232,12 +232,20 @@ def view_owners(screens: DataFrame, screen_items: DataFrame, groups: DataFrame,
 
 
 def views(screens: DataFrame, screen_items: DataFrame, captions: DataFrame, groups: DataFrame,
-          items: DataFrame) -> DataFrame:
+          items: DataFrame, caption_pages: DataFrame | None = None) -> DataFrame:
+    """Screens with an owner, named by the captions of their top row. ``caption_pages`` are
+    the caption pages that exist: one without captions leaves the name empty, while a
+    screen without a caption page goes by its own name."""
     owned = view_owners(screens, screen_items, groups, items).where(
         "table_id <> 0 and entity_type <> 0"
     )
+    titles = top_captions(captions)
+    if caption_pages is not None:
+        titles = caption_pages.select("page_id").join(titles, "page_id", "left").select(
+            "page_id", F.coalesce("title", F.lit("")).alias("title")
+        )
     return conform(
-        screens.join(owned, "page_id").join(top_captions(captions), "page_id", "left").select(
+        screens.join(owned, "page_id").join(titles, "page_id", "left").select(
             F.col("page_id").alias("id"), F.coalesce("title", "name").alias("name"),
             F.col("row_count").alias("n_rows"), F.col("item_count").alias("n_items"),
             "table_id", F.col("entity_type").alias("entity_type_id"),
@@ -372,7 +380,7 @@ def load_metadata(pages: Pages, spark: SparkSession) -> dict[str, DataFrame]:
     out = {
         "data_types": data_types(spark),
         "tables": tables(items, screens, groups, entity),
-        "views": views(screens, screen_items, captions, groups, items),
+        "views": views(screens, screen_items, captions, groups, items, pages("SCRTXT")),
         "entity_types": entity_types(entity),
         "index_types": index_types(
             L.index_definitions(pages("IDXDEF")), L.project(pages("KEYDEF"), "KEYDEF")

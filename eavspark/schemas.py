@@ -61,6 +61,10 @@ SCHEMAS: dict[str, StructType] = {
         ("id_line_view_id", _SHORT),
     ),
     "indexes": _struct(("index_type_id", _SHORT), ("term", _TEXT), ("entity_id", _ID)),
+    # the same by folded term, the order in which it is stored and searched
+    "terms": _struct(
+        ("folded", _TEXT), ("index_type_id", _SHORT), ("term", _TEXT), ("entity_id", _ID)
+    ),
     "views": _struct(
         ("id", _SHORT), ("name", _TEXT), ("n_rows", _SHORT), ("n_items", _SHORT),
         ("table_id", _SHORT), ("entity_type_id", _SHORT),
@@ -103,6 +107,7 @@ KEYS: dict[str, list[str]] = {
     **{name: VALUE_KEY for name in VALUE_TABLES},
     "loads": ["entity_id"],
     "indexes": ["index_type_id", "term", "entity_id"],
+    "terms": ["folded", "index_type_id", "term", "entity_id"],
     "view_attributes": ["view_id", "seq"],
     "view_captions": ["view_id", "seq"],
     "menu_items": ["menu_id", "seq"],

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavspark.schemas import SCHEMAS, VALUE_KEY
+from eavspark.schemas import KEYS, SCHEMAS
 
 
 class Store(Mapping):
@@ -66,12 +66,12 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, name: str, mode: str = "error") -> None:
-    """Full write. Value tables are laid out by entity, so that reads of some
-    entities skip files and row groups. The whole key bounds the ranges: one
-    entity with very many values spreads over several files."""
+    """Full write. Value tables are laid out by entity and terms by their folded form,
+    so that reads of some entities, or of a prefix, skip files and row groups. The whole
+    key bounds the ranges: one entity with very many values spreads over several files."""
     out = conform(df, name)
-    if name.startswith("value_"):
-        out = out.repartitionByRange(*VALUE_KEY).sortWithinPartitions(*VALUE_KEY)
+    if name.startswith("value_") or name == "terms":
+        out = out.repartitionByRange(*KEYS[name]).sortWithinPartitions(*KEYS[name])
     out.write.mode(mode).parquet(path)
 
 
