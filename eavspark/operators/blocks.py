@@ -118,7 +118,19 @@ def _rle_batch(pages: pa.Array, first: int, no_value: np.ndarray | None):
     v = pa.Array.from_buffers(
         pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)]
     )
-    return row, pos.astype(np.int32), item.astype(np.int32), rep.astype(np.int32), v
+    return row, pos.astype(np.int32), item.astype(np.int32), rep.astype(np.int32), v, (data, at, size)
+
+
+WORDS = ["w0", "w1", "w2", "w3"]  # the first bytes of a value as big-endian 32-bit integers
+
+
+def value_words(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[pa.Array]:
+    """The first sixteen bytes of each value as four signed integers, zeros behind its end."""
+    place = np.arange(4 * len(WORDS))
+    head = np.zeros((len(at), len(place)), np.uint8)
+    inside = place < size[:, None]
+    head[inside] = data[(at[:, None] + place)[inside]]
+    return [pa.array(w) for w in head.view(">i4").astype(np.int32).T]
 
 
 Read = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -131,8 +143,9 @@ def rle_blocks(
     keep: Sequence[str] = ("entity_id", "chain_pos"),
     without_value: Iterable[int] = (),
     read: Read | None = None,
+    words: bool = False,
 ) -> DataFrame:
-    """Run-length blocks: ``keep`` columns, ``pos, item_id, rep, v``.
+    """Run-length blocks: ``keep`` columns, ``pos, item_id, rep, v`` and, with ``words``, ``WORDS``.
 
     The length of a block is in its own bytes, which no expression can follow
     cheaply, so Arrow batches go through numpy; pages stay where they are.
@@ -150,6 +163,7 @@ def rle_blocks(
             StructField("rep", IntegerType()),
             StructField("v", BinaryType()),
         ]
+        + [StructField(w, IntegerType()) for w in WORDS if words]
     )
     dropped = np.array(sorted(without_value), dtype=np.int32) if without_value else None
 
@@ -163,11 +177,11 @@ def rle_blocks(
             found = _rle_batch(column, header, dropped)
             if found is None:
                 continue
-            row, pos, item, rep, v = found
+            row, pos, item, rep, v, place = found
             taken = batch.select(names).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(pos), pa.array(item), pa.array(rep), v],
-                names=[*names, "pos", "item_id", "rep", "v"],
+                [*taken.columns, pa.array(pos), pa.array(item), pa.array(rep), v, *(value_words(*place) if words else [])],
+                names=[*names, "pos", "item_id", "rep", "v", *(WORDS if words else [])],
             )
 
     return source.mapInArrow(parse, schema)

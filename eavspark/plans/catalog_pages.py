@@ -330,8 +330,9 @@ def chain_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("owner"), "page_id", F.coalesce("next_id", F.lit(0)).alias("next_id"))
     starts = linked.where("prev_id is null").select(
         F.lit(1).alias("chain_id"), F.lit(1).alias("owner"), "page_id")
-    # far more pages than are put in order at once: the list is contracted first
-    order = materialize(C.rank_large(starts, links, max_group=1 << 12), "order")
+    # eight times the pages that are put in order at once: the list is contracted first
+    few = min(C.MAX_GROUP, linked.count() // 8 + 1)
+    order = materialize(C.rank_large(starts, links, max_group=few), "order")
     return C.backward(order).select("page_id", "chain_pos", "back_pos")
 
 
