@@ -5,10 +5,10 @@ signature keeps both the least and the greatest value of its set under each
 permutation, so ``permutations`` hash evaluations give twice as many signature values.
 Bands of the signature are buckets. Links are confirmed on the full sets.
 
-A bucket is never expanded into its pairs. Its members are first compared with the
-least of them alone; what that links is one component, however large. Only members
-that still lie in different components of a bucket are then compared with each other,
-so a group of thousands of copies costs thousands of comparisons, not millions.
+A bucket is never expanded into its pairs: its members meet in the block that its least
+class names, where that class is compared with all of them, and only what still lies in
+other components is compared again (:mod:`eavspark.llm.cells`). A group of thousands of
+copies costs thousands of comparisons, not millions.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eavspark.llm.cells import Roots, components, grouped  # noqa: F401 - components is offered here too
 from eavspark.llm.common import arrow_schema, mix, rows, shingle_set
 from eavspark.session import materialize
 
@@ -89,46 +90,26 @@ def shingle_sets(df: DataFrame, words: int, text: str) -> DataFrame:
     return df.select(text).mapInArrow(run, "class binary, items array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets share at least ``percent`` of their union."""
-    shared = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(sets.select(F.col("class").alias("a"), F.col("items").alias("x")), "a")
-        .join(sets.select(F.col("class").alias("b"), F.col("items").alias("y")), "b")
-        .where(100 * shared >= percent * (F.size("x") + F.size("y") - shared))
-        .select("a", "b")
-    )
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node reachable, for every node of an edge.
-
-    Alternating large-star and small-star rounds; each is aggregated before it is
-    shuffled and written to the shared folder. Ends when a round changes nothing.
-    """
-    edges = materialize(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), "edges")
-    while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = (
-            large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
-            .where("u < v").distinct()
-        )
-        after = materialize(small, "edges")
-        same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
-        edges = after
-        if same:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
-                edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
-            )
-
-
-def alike(a: Column, b: Column, least: int) -> Column:
-    """Whether two signatures agree in at least ``least`` places (a screen before the full sets)."""
-    x, y = (F.split(F.regexp_replace(F.hex(s), "(.{8})", "$1 "), " ") for s in (a, b))
-    return F.size(F.filter(F.zip_with(x, y, lambda p, q: p == q), lambda same: same)) - 1 >= least
+def cell_links(members: list[dict], searchers: list[dict], percent: int, screen: int) -> list[tuple[bytes, bytes]]:
+    """Links of one cell that join components; both sides have class, n, root, sig and items.
+
+    Signatures that agree in ``screen`` places are compared on the full sets."""
+    sigs = np.array([np.frombuffer(m["sig"], np.uint32) for m in members])
+    sizes = np.array([m["n"] for m in members])
+    roots, out = Roots(), []
+    for s in searchers:
+        alike = (sigs == np.frombuffer(s["sig"], np.uint32)).sum(axis=1) >= screen
+        alike &= 100 * np.minimum(sizes, s["n"]) >= percent * np.maximum(sizes, s["n"])
+        for i in np.flatnonzero(alike):
+            m = members[i]
+            own, its = roots.find(s["root"]), roots.find(m["root"])
+            if own == its:
+                continue
+            shared = len(np.intersect1d(s["items"], m["items"], assume_unique=True))
+            if 100 * shared >= percent * (s["n"] + m["n"] - shared):
+                roots.join(own, its)
+                out.append((s["class"], m["class"]))
+    return out
 
 
 def near_duplicates(
@@ -151,37 +132,13 @@ def near_duplicates(
     bands = materialize(classes.select("class", "n", F.posexplode("s.bands").alias("band", "key")), "bands")
     # one key may be met by many: partial counts come first, and single ones go
     busy = bands.groupBy("band", "key").agg(F.count("*").alias("members"), F.min("class").alias("least")).where("members > 1")
-    near = materialize(bands.join(busy, ["band", "key"]).select("band", "key", "class", "n", "least"), "near")
-    wanted = near.select("class").distinct()
-    sig = materialize(
-        some.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("n_shingles").alias("n"), F.min("sig").alias("sig")), "sigs"
-    )
+    # a bucket is named by its least class, so copies that meet in many buckets meet in one block
+    meet = materialize(bands.join(busy, ["band", "key"]).select(F.xxhash64("least").alias("block"), "class", "n").distinct(), "meet")
+    heads = meet.select("block").distinct().join(meet.select(F.xxhash64("class").alias("block"), "class", "n").distinct(), "block")
+    sig = some.join(meet.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("sig").alias("sig"))
+    payload = materialize(sig.join(_sets(df, found, meet, words, id_column, text), "class"), "payload")
     screen = int(2 * permutations * max(0.0, percent / 100 - 0.24))  # over six deviations below
-
-    def screened(pairs: DataFrame) -> DataFrame:
-        left, right = (sig.select(F.col("class").alias(c), F.col("sig").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
-        size = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        return pairs.join(left, "a").join(right, "b").where(size).where(alike(F.col("sa"), F.col("sb"), screen)).select("a", "b")
-
-    stars = materialize(
-        screened(near.where("class > least").select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()), "stars"
-    )
-    # the rest of a bucket, before links are known: whoever the star's screen did not pass
-    sets = _sets(df, found, near, words, id_column, text)
-    linked = materialize(confirm(stars, sets, percent), "links")
-    first = components(linked)
-    placed = near.join(first, near["class"] == first["node"], "left").select(
-        "band", "key", "class", "n", F.coalesce("root", "class").alias("root")
-    )
-    split = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "key")
-    open_ = materialize(placed.join(split, ["band", "key"], "left_semi"), "open")
-    a, b = (open_.select("band", "key", F.col("class").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
-    rest = (
-        a.join(b, ["band", "key"]).where("ra < rb").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select("a", "b").distinct()
-    )
-    more = materialize(confirm(screened(rest), sets, percent), "links")
-    groups = components(linked.unionByName(more))
+    groups = grouped(meet, heads, payload, lambda own, asks: cell_links(own, asks, percent, screen))
     # the smallest id of a class, then of its component
     ids = some.groupBy("class").agg(F.min("doc_id").alias("id"))
     known = ids.join(groups, ids["class"] == groups["node"], "left").select("class", "id", F.coalesce("root", "class").alias("root"))
@@ -203,4 +160,4 @@ def _sets(df: DataFrame, found: DataFrame, near: DataFrame, words: int, id_colum
     )
     # rows that share an id may differ in text, so the class is taken from the text itself
     texts = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(member, "_id", "left_semi").select("_text")
-    return materialize(shingle_sets(texts, words, "_text").groupBy("class").agg(F.first("items").alias("items")), "sets")
+    return shingle_sets(texts, words, "_text").groupBy("class").agg(F.first("items").alias("items"))

@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eavspark.llm.cells import Roots, grouped
 from eavspark.llm.common import shingle_set, small_slices
-from eavspark.llm.neardup import components, digest
+from eavspark.llm.neardup import digest
 from eavspark.session import materialize
 
 RANGE = 1 << 21  # shingles of a hash range
-CELL = 1 << 17  # shingles on either side of a cell
 MU = 0.0085  # weighs a probe against a step of the merge
 
 
@@ -84,27 +84,11 @@ def holds(a: list[int], record: int) -> bool:
     return at < len(a) and a[at] == record
 
 
-class Roots:
-    """Components of what a cell knows."""
-
-    def __init__(self) -> None:
-        self.up: dict[bytes, bytes] = {}
-
-    def find(self, x: bytes) -> bytes:
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = self.up.get(y, y)
-            x = y
-        return x
-
-    def join(self, x: bytes, y: bytes) -> None:
-        self.up[max(x, y)] = min(x, y)
-
-
-def cell_links(members: list[tuple], searchers: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
-    """Links of one cell that join components; both sides are (id, size, root, shingles)."""
-    asked = np.unique(np.concatenate([s[3] for s in searchers]))
-    owner = np.repeat(np.arange(len(members)), [len(m[3]) for m in members])
-    tokens = np.concatenate([m[3] for m in members])
+def cell_links(members: list[dict], searchers: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
+    """Links of one cell that join components; both sides have class, n, root and tokens."""
+    asked = np.unique(np.concatenate([s["tokens"] for s in searchers]))
+    owner = np.repeat(np.arange(len(members)), [len(m["tokens"]) for m in members])
+    tokens = np.concatenate([m["tokens"] for m in members])
     some = np.isin(tokens, asked)
     owner, tokens = owner[some], tokens[some]
     order = np.argsort(tokens, kind="stable")
@@ -113,11 +97,12 @@ def cell_links(members: list[tuple], searchers: list[tuple], percent: int) -> li
     ends = [*starts[1:].tolist(), len(owner)]
     inverted = {t: owner[a:b].tolist() for t, a, b in zip(heads.tolist(), starts.tolist(), ends, strict=True)}
     roots, out = Roots(), []
-    for name, size, root, mine in searchers:
-        lists = [a for t in mine.tolist() if (a := inverted.get(t))]
+    for s in searchers:
+        size = s["n"]
+        lists = [a for t in s["tokens"].tolist() if (a := inverted.get(t))]
         for record, count, long in divide_skip(lists, -(-percent * size // 100)):
-            other, n, its, _ = members[record]
-            own, its = roots.find(root), roots.find(its)
+            n = members[record]["n"]
+            own, its = roots.find(s["root"]), roots.find(members[record]["root"])
             if own == its or 100 * min(n, size) < percent * max(n, size):
                 continue
             need = -(-percent * (n + size) // (100 + percent))
@@ -127,7 +112,7 @@ def cell_links(members: list[tuple], searchers: list[tuple], percent: int) -> li
                 count += holds(a, record)
             if count >= need:
                 roots.join(own, its)
-                out.append((name, other))
+                out.append((s["class"], members[record]["class"]))
     return out
 
 
@@ -242,38 +227,7 @@ def name_of(digests: Column) -> Column:
     return F.conv(F.hex(F.substring(digests, 1, 8)), 16, -10).cast("long")
 
 
-# ---- blocks and cells -------------------------------------------------------------
-
-
-def search(placed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between the searchers and the members of each block.
-
-    ``placed`` is (block, class, n, root, searcher); a block's members and searchers are
-    dealt to as many parts as its shingles need, and each pair of parts is a cell.
-    """
-    parts = placed.groupBy("block").agg(*(
-        F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum(F.when(F.col("searcher") == side, F.col("n"))), F.lit(0)) / CELL)).cast("long").alias(name)
-        for side, name in ((False, "slices"), (True, "queries"))
-    ))
-    dealt = placed.join(parts, "block")
-    own = lambda c: F.array(F.pmod(F.xxhash64("class", F.lit(7)), F.col(c)))
-    every = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    cells = (
-        dealt.withColumn("slice", F.explode(F.when(F.col("searcher"), every("slices")).otherwise(own("slices"))))
-        .withColumn("query", F.explode(F.when(F.col("searcher"), own("queries")).otherwise(every("queries"))))
-        .join(tokens, "class").select("block", "slice", "query", "class", "n", "root", "searcher", "tokens")
-    )
-
-    def find(table: pa.Table) -> pa.Table:
-        sides: tuple[list, list] = ([], [])
-        tokens = table.column("tokens").combine_chunks()
-        values, at = tokens.flatten().to_numpy(), tokens.value_lengths().to_numpy().cumsum()
-        for i, (name, n, root, asks) in enumerate(zip(*(table.column(c).to_pylist() for c in ("class", "n", "root", "searcher")), strict=True)):
-            sides[asks].append((name, n, root, values[at[i - 1] if i else 0 : at[i]]))
-        got = cell_links(*sides, percent) if all(sides) else []
-        return pa.table({"a": pa.array([a for a, _ in got], pa.binary()), "b": pa.array([b for _, b in got], pa.binary())})
-
-    return cells.groupBy("block", "slice", "query").applyInArrow(find, "a binary, b binary")
+# ---- the whole join ---------------------------------------------------------------
 
 
 def jaccard_groups(
@@ -318,19 +272,7 @@ def jaccard_groups(
     meet = materialize(members.select(F.explode("blocks").alias("block"), "class", "n"), "meet")
 
     heads = meet.select("block").distinct().join(members.select(F.xxhash64("class").alias("block"), "class", "n"), "block")
-    first = meet.withColumn("searcher", F.lit(False)).unionByName(heads.withColumn("searcher", F.lit(True))).withColumn("root", F.col("class"))
-    links = materialize(search(first, tokens, percent), "links")
-    roots = components(links)
-    known = materialize(
-        meet.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "known"
-    )
-    sizes = known.groupBy("block", "root").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("block").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("block", F.col("m.root").alias("main"))
-    open_ = known.join(main, "block")
-    again = open_.withColumn("searcher", F.lit(False)).unionByName(open_.where("root <> main").withColumn("searcher", F.lit(True)))
-    more = materialize(search(again.select("block", "class", "n", "root", "searcher"), tokens, percent), "links")
-    groups = components(links.unionByName(more))
-
+    groups = grouped(meet, heads, tokens, lambda own, asks: cell_links(own, asks, percent))
     placed = classes.join(groups, classes["class"] == groups["node"], "left").select("class", "id", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     answer = placed.join(least, "root").select("class", "component_id")

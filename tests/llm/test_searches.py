@@ -10,7 +10,7 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from eavspark.llm import divergence, lexical, overlap, queries
+from eavspark.llm import cells, divergence, lexical, overlap, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, term string, block long, tokens string, rank int"
@@ -84,7 +84,7 @@ def test_join_in_cells_of_any_size(spark, odd, monkeypatch):
         for p in rng.sample(range(100), 3):
             w[p] = f"new{rng.randrange(4)}"
         rows.append((len(rows), " ".join(w)))
-    monkeypatch.setattr(overlap, "CELL", 900)
+    monkeypatch.setattr(cells, "CELL", 900)
     monkeypatch.setattr(overlap, "RANGE", 500)
     got = overlap.jaccard_groups(documents(spark, [(i, t, "en", "a") for i, t in rows])).collect()
     assert sorted(map(tuple, got)) == brute_groups(rows, 3, 90)
