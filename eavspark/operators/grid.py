@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from eavspark import schemas as S
@@ -81,19 +81,28 @@ def display_values(
 ) -> DataFrame:
     """``(entity_id, attribute_id, seq, name, data_type_id, display)``.
 
-    Filters on attribute, entity and row range reach every value table. Only types
-    stored in two tables (entity links, qualified numbers) are merged, which costs
-    them a shuffle on the key; all others pass straight through.
+    Filters on attribute, entity and row range reach every value table; of few listed
+    attributes each table is asked for those of its types alone, and what is to be known
+    of them stands in the plan. Only types stored in two tables (entity links, qualified
+    numbers) are merged, which costs them a shuffle on the key; all others pass straight
+    through.
     """
-    types = attributes_of(store, attribute_ids)
-
-    def values(table: str) -> DataFrame:
-        df = store[table]
-        if attribute_ids is not None:
-            df = df.where(F.col("attribute_id").isin(list(attribute_ids)))
+    known = _listed(store, attribute_ids)
+
+    def values(table: str, *wanted: int, but: int | None = None) -> DataFrame:
+        """Values of attributes of the wanted types (of all but one), with name, type and format."""
+        ok = F.col("data_type_id").isin(*wanted) if wanted else F.col("data_type_id") != but if but else F.lit(True)
+        ids, df = attribute_ids, store[table]
+        if known is not None:
+            ids = [i for i, a in known.items() if (a.data_type_id in wanted if wanted else a.data_type_id != but)]
+        if ids is not None:
+            df = df.where(F.col("attribute_id").isin(list(ids)))
         if seqs is not None:
             df = df.where(F.col("seq").between(*seqs))
-        return restrict(df, entities).join(types, "attribute_id")
+        df = restrict(df, entities)
+        if known is None or len(known) > FEW:
+            return df.join(attributes_of(store, attribute_ids), "attribute_id").where(ok)
+        return df.select("*", *[_of_attribute({i: getattr(known[i], c) for i in ids}, kind).alias(c) for c, kind in ATTRIBUTE])
 
     carried = [*VALUE_KEY, "name", "data_type_id"]
     kind, fmt = F.col("data_type_id"), F.col("format")
@@ -101,35 +110,35 @@ def display_values(
     def shown(df: DataFrame, display: Column) -> DataFrame:
         return df.select(*carried, display.alias("display"))
 
-    held = _types_held(store, attribute_ids)
+    held = None if known is None else {a.data_type_id for a in known.values()}
 
     def any_of(*kinds: int) -> bool:
         """Branches for types that no wanted attribute has are not planned at all."""
         return held is None or bool(held & set(kinds))
 
-    def coded() -> DataFrame:
+    def coded(*wanted: int, but: int | None = None) -> DataFrame:
         # neither side is assumed small: AQE broadcasts or splits by what it measures
         names = store["lookups"].select(
             F.col("id").alias("lookup_id"), F.col("name").alias("lookup_name")
         )
         text = F.coalesce("lookup_name", F.col("lookup_id").cast("string"))
-        return values("value_lookups").join(names, "lookup_id", "left").withColumn("text", text)
+        return values("value_lookups", *wanted, but=but).join(names, "lookup_id", "left").withColumn("text", text)
 
     value = F.col("value")
     out: list[DataFrame] = []
     if any_of(S.TEXT, S.TIME):
-        out.append(shown(values("value_texts").where(kind.isin(S.TEXT, S.TIME)), value))
+        out.append(shown(values("value_texts", S.TEXT, S.TIME), value))
     if any_of(S.LONG_TEXT):
         out.append(shown(values("value_long_texts"), value))
     if any_of(S.NUMERIC):
-        numbers = values("value_numbers").where(kind != S.QUALIFIED)
+        numbers = values("value_numbers", but=S.QUALIFIED)
         out.append(shown(numbers, number_text(value)))
     if any_of(S.DATE):
         out.append(shown(values("value_dates"), date_text(value, fmt)))
     if any_of(S.TIME):
         out.append(shown(values("value_times"), time_of_day(value, fmt)))
     if any_of(S.LOOKUP):
-        out.append(shown(coded().where(kind != S.QUALIFIED), F.col("text")))
+        out.append(shown(coded(but=S.QUALIFIED), F.col("text")))
 
     # types stored in two tables: the first text stands before the second
     first: list[DataFrame] = []
@@ -138,12 +147,12 @@ def display_values(
         names = store["entities"].select(
             F.col("id").alias("linked_entity_id"), F.col("name").alias("entity_name")
         )
-        linked = values("value_entities").join(names, "linked_entity_id", "left")
+        linked = values("value_entities", S.ENTITY_PTR).join(names, "linked_entity_id", "left")
         first.append(shown(linked, F.col("entity_name")))
-        second.append(shown(values("value_texts").where(kind == S.ENTITY_PTR), value))
+        second.append(shown(values("value_texts", S.ENTITY_PTR), value))
     if any_of(S.QUALIFIED):
-        first.append(shown(coded().where(kind == S.QUALIFIED), F.col("text")))
-        numbers = values("value_numbers").where(kind == S.QUALIFIED)
+        first.append(shown(coded(S.QUALIFIED), F.col("text")))
+        numbers = values("value_numbers", S.QUALIFIED)
         second.append(shown(numbers, number_text(value)))
     if first:
         pieces = reduce(
@@ -162,12 +171,24 @@ def display_values(
     return reduce(DataFrame.unionByName, out)
 
 
-def _types_held(store: Store, attribute_ids: Sequence[int] | None) -> set[int] | None:
-    """Logical types among listed attributes, so that unused branches are left out."""
+FEW = 64  # attributes whose figures stand in the plan instead of being joined
+
+ATTRIBUTE = [("name", "string"), ("data_type_id", "smallint"), ("format", "string")]
+
+
+def _listed(store: Store, attribute_ids: Sequence[int] | None) -> dict[int, Row] | None:
+    """Listed attributes by id: a table or a view has a bounded number."""
     if attribute_ids is None:
         return None
-    rows = attributes_of(store, attribute_ids).select("data_type_id").distinct().collect()
-    return {r.data_type_id for r in rows}
+    return {r.attribute_id: r for r in attributes_of(store, attribute_ids).collect()}
+
+
+def _of_attribute(figures: dict[int, object], kind: str) -> Column:
+    """The figure of a row's attribute, as a case over their ids."""
+    out = F.lit(None)
+    for i, figure in figures.items():
+        out = F.when(F.col("attribute_id") == i, F.lit(figure)).otherwise(out)
+    return out.cast(kind)
 
 
 def table_attributes(store: Store, table_id: int) -> list[tuple[int, str]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,16 +17,28 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    A folder of our own is made only where the session names none (tests).
+    A path without a scheme is taken on the cluster's default file system, by Spark as by
+    the tasks that open files themselves. A folder of our own is made only where the
+    session names none and runs on one machine (tests); elsewhere that is an error.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named.rstrip("/"))
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors see")
     own = tempfile.mkdtemp(prefix="eavspark-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the default file system, where it has none and that is not local."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if re.match(r"[a-z][a-z0-9+.-]*:", path) or default.startswith("file:"):
+        return path
+    return default.rstrip("/") + "/" + path.lstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/eavspark-{name}-{uuid.uuid4().hex}"
 
