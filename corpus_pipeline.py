@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,16 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a name of their own, ``row``: where they stand in their file, which is
+    the same however often they are read. Rows that no file holds are stored first."""
+    place = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+    try:
+        return docs.select(*COLUMNS, place.alias("row"))
+    except AnalysisException:
+        return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().cast("string").alias("row")), "rows")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the neighbours vote for. The labels learned from are all there are."""
     model = neighbours.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -31,13 +42,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8), the smallest id.
+    """One row of each group of near duplicates (five words, 0.8): the smallest id, a null last.
 
-    Rows that share the smallest id stay together; rows without an id stay.
-    """
-    groups = neardup.near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    Rows are told apart by a number of their own, so rows that share an id, or have none,
+    are kept or dropped each for itself."""
+    rows = _numbered(docs)
+    groups = neardup.near_duplicates(rows, id_column="row").select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("f")
+    kept = groups.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(first).select("f.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +60,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by weights 3, 1, 2 to 150% of the words: a row per time a document is taken."""
-    return _documents(mixing.mix(docs.select(*COLUMNS)))
+    return _documents(mixing.mix(_numbered(docs), key="row"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +75,12 @@ ORACLE_SQL = None  # models, hashes and tokenizers are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet in the shared folder and read by the next."""
+    """All stages, each written as Parquet in the shared folder and read by the next.
+
+    Null texts and sources, empty and very long texts and repeated ids go through as the
+    stages say. Tables without rows give none; without labels every document scores one
+    half and stays. Other columns of ``documents`` are not read, whatever their names.
+    """
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:

@@ -233,7 +233,8 @@ def pack(
     Every document ends with ``end_id``, so a null or empty text is one piece of one id.
     Documents longer than ``capacity`` are cut in pieces of that length; only their
     first piece may be shorter. Rows with equal or null ids are packed each for itself.
-    An empty table gives no rows.
+    An empty table gives no rows. A text of any length is encoded whole; other columns
+    are not read, whatever their names.
     """
     cut = materialize(pieces(df, tokenizer, capacity, end_id, id_column, text), "pieces")
     per_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))

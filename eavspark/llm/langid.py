@@ -142,7 +142,8 @@ def predict(df: DataFrame, profiles: dict, id_column: str = "doc_id", text: str
     score is 1 minus the distance over the largest one possible. A text that is null or
     has no letter, or an empty set of profiles, gives ``und`` and 0. Equal distances go
     to the label that sorts first. Repeated ids keep their rows; other columns are not
-    read, whatever their names.
+    read, whatever their names. A text of any length is read whole, as one row; a table
+    without rows gives none.
     """
     names = sorted(profiles)
     known = np.unique(np.concatenate([profiles[n] for n in names])) if names else np.empty(0, np.int64)

@@ -118,7 +118,8 @@ def _by_map(docs: DataFrame, found: list, shared: list[float]) -> DataFrame:
 
 
 def cut_words(df: DataFrame, words: str, text: str = "text") -> DataFrame:
-    """Every text up to the end of its first ``words`` words; nothing else changes."""
+    """Every text up to the end of its first ``words`` words, whole where that is null; nothing
+    else changes."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         import numpy as np
@@ -128,23 +129,39 @@ def cut_words(df: DataFrame, words: str, text: str = "text") -> DataFrame:
             for part in rows([batch]):
                 kind = part.column(where).type
                 out = []
-                for t, n in zip(part.column(where).cast(pa.large_binary()).to_pylist(), part.column(limit).to_pylist(), strict=True):
-                    ends = word_spans(np.frombuffer(t or b"", np.uint8))[1]
-                    out.append(t if t is None or n >= len(ends) else t[: ends[n - 1] if n else 0])
+                limits = part.column(limit).to_pylist()
+                if not any(n is not None for n in limits):
+                    yield part
+                    continue
+                for t, n in zip(part.column(where).cast(pa.large_binary()).to_pylist(), limits, strict=True):
+                    ends = word_spans(np.frombuffer(t or b"", np.uint8))[1] if n is not None else ()
+                    out.append(t if t is None or n is None or n >= len(ends) else t[: ends[n - 1] if n else 0])
                 yield part.set_column(where, text, pa.array(out, pa.large_binary()).cast(kind))
 
     return df.mapInArrow(run, df.schema)
 
 
-def mix(df: DataFrame, seed: str = "mix", text: str = "text", **options) -> DataFrame:
+def mix(
+    df: DataFrame, seed: str = "mix", id_column: str = "doc_id", source: str = "source", text: str = "text", key: str | None = None, **options,
+) -> DataFrame:
     """The mix itself: the rows of ``df``, one per time a document is taken, cut at the
-    words taken, in order of virtual finish time (globally range-sorted)."""
-    columns = df.columns
-    row = F.struct(*columns).alias("_row")
-    repeats = options.get("repeats", 2)
-    taken = shares(df.select(*columns, row), seed=seed, text=text, keep=["_row"], **options)
-    each = F.explode(F.array(*[F.struct(F.col(f"taken_{r}").alias("_words"), F.col(f"finish_{r}").alias("_finish")) for r in range(repeats)]))
-    served = taken.select("_row.*", "size", each.alias("_e")).select(*columns, F.col("size").alias("_size"), "_e.*").where(F.col("_words") > 0)
-    whole = served.where(F.col("_words") == F.col("_size"))
-    cut = cut_words(served.where(F.col("_words") < F.col("_size")), "_words", text)
-    return whole.unionByName(cut).orderBy("_finish").select(*columns)
+    words taken, in order of virtual finish time (globally range-sorted).
+
+    Shares are worked out on narrow rows; the rows themselves are shuffled to meet their
+    shares and to be sorted. ``key`` names a column that tells all rows apart, however often
+    they are read, and is not returned; without one the rows are stored and numbered.
+    Other columns may have any names."""
+    columns, repeats = [c for c in df.columns if c != key], options.get("repeats", 2)
+    row = F.struct(*columns).alias("row")
+    if key is None:
+        rows_ = materialize(df.select(F.monotonically_increasing_id().alias("key"), row), "rows")
+    else:
+        rows_ = df.select(F.col(key).alias("key"), row)
+    narrow = rows_.select("key", *(F.col("row")[c].alias(n) for n, c in (("doc_id", id_column), ("source", source), ("text", text))))
+    taken = shares(narrow, seed=seed, keep=["key"], **options)
+    each = F.explode(F.array(*[F.struct(F.col(f"taken_{r}").alias("words"), F.col(f"finish_{r}").alias("finish")) for r in range(repeats)]))
+    served = taken.select("key", "size", each.alias("e")).select("key", "size", "e.*").where("words > 0").join(rows_, "key")
+    cut = cut_words(
+        served.select(F.col("row")[text].alias("text"), F.when(F.col("words") < F.col("size"), F.col("words")).alias("words"), "row", "finish"), "words"
+    )
+    return cut.select(F.col("row").withField(f"`{text}`", F.col("text")).alias("row"), "finish").orderBy("finish").select("row.*")

@@ -90,16 +90,19 @@ def fit(
 
     kind = have.schema["_id"].dataType.simpleString()
     chosen = have.mapInArrow(vectors, f"_id {kind}, _y int, _at binary, _v binary").orderBy(F.xxhash64("_id"), F.xxhash64("_at", "_v")).limit(limit)
-    got = chosen.select("_y", "_at", "_v").collect()  # at most ``limit`` sparse rows
-    y = np.array([r["_y"] for r in got], np.float64)
-    w = np.zeros((len(got), TERMS), np.float32)
-    for row, r in zip(w, got, strict=True):
-        row[np.frombuffer(r["_at"], np.uint16)] = np.frombuffer(r["_v"], np.float32)
+    got = chosen.select("_y", "_at", "_v").toArrow()  # at most ``limit`` sparse rows
+    y = got.column("_y").to_numpy().astype(np.float64)
+    w, held = np.zeros((len(y), TERMS), np.float32), np.zeros(TERMS, np.int64)
+    for row, at, n in zip(w, got.column("_at"), got.column("_v"), strict=True):
+        at = np.frombuffer(at.as_py(), np.uint16)
+        row[at] = np.frombuffer(n.as_py(), np.float32)
+        held[at] += 1
     del got
-    idf = np.log((1 + len(w)) / (1 + np.count_nonzero(w, axis=0))).astype(np.float32) + np.float32(0.1)
-    np.log1p(w, out=w)
-    w *= idf
-    w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+    idf = np.log((1 + len(w)) / (1 + held)).astype(np.float32) + np.float32(0.1)
+    for row in w:  # row by row, so that ``w`` is the only block of its size
+        np.log1p(row, out=row)
+        row *= idf
+        row /= max(float(np.sqrt(row @ row)), 1e-12)
     axes = leading(w, min(rank, len(w)))
     v = w @ axes
     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)

@@ -191,6 +191,8 @@ def write(
     task writes under names of its own, and only the list of the attempts that ended
     well is kept, so a lost or repeated task leaves nothing that is read. A null text
     is empty; null ids come first; rows with equal ids are ordered by their texts' hash.
+    A text of any length is encoded whole, and its ids pass through blocks of bounded
+    size. Other columns are not read, whatever their names; an empty table gives no files.
     """
     spark = df.sparkSession
     base = (folder or shared_dir(spark)).rstrip("/") + f"/tokens-{uuid.uuid4().hex}"
