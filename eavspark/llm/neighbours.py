@@ -9,6 +9,7 @@ Of equally near neighbours at the edge any may vote; a table's rows do not chang
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,36 +93,45 @@ def fit(
     chosen = have.mapInArrow(vectors, f"_id {kind}, _y int, _at binary, _v binary").orderBy(F.xxhash64("_id"), F.xxhash64("_at", "_v")).limit(limit)
     got = chosen.select("_y", "_at", "_v").toArrow()  # at most ``limit`` sparse rows
     y = got.column("_y").to_numpy().astype(np.float64)
-    w, held = np.zeros((len(y), TERMS), np.float32), np.zeros(TERMS, np.int64)
-    for row, at, n in zip(w, got.column("_at"), got.column("_v"), strict=True):
-        at = np.frombuffer(at.as_py(), np.uint16)
-        row[at] = np.frombuffer(n.as_py(), np.float32)
-        held[at] += 1
+    terms = [np.frombuffer(at.as_py(), np.uint16) for at in got.column("_at")]
+    values = [np.frombuffer(n.as_py(), np.float32) for n in got.column("_v")]
     del got
-    idf = np.log((1 + len(w)) / (1 + held)).astype(np.float32) + np.float32(0.1)
-    for row in w:  # row by row, so that ``w`` is the only block of its size
-        np.log1p(row, out=row)
-        row *= idf
-        row /= max(float(np.sqrt(row @ row)), 1e-12)
-    axes = leading(w, min(rank, len(w)))
-    v = w @ axes
+    held = np.zeros(TERMS, np.int64)
+    for at in terms:
+        held[at] += 1
+    idf = np.log((1 + len(y)) / (1 + held)).astype(np.float32) + np.float32(0.1)
+    for i, at in enumerate(terms):
+        x = np.log1p(values[i]) * idf[at]
+        values[i] = x / max(float(np.sqrt(x @ x)), 1e-12)
+
+    def blocks():
+        """The weighted rows, dense, a few at a time."""
+        for first in range(0, len(terms), 512):
+            w = np.zeros((len(terms[first : first + 512]), TERMS), np.float32)
+            for row, at, x in zip(w, terms[first:], values[first:], strict=False):
+                row[at] = x
+            yield w
+
+    axes = leading(blocks, len(y), TERMS, min(rank, len(y)))
+    v = np.concatenate([w @ axes for w in blocks()] or [np.zeros((0, axes.shape[1]), np.float32)])
     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
     return Model(idf, axes, v, y, k)
 
 
-def leading(w: np.ndarray, rank: int, spare: int = 16, rounds: int = 12) -> np.ndarray:
-    """The leading right singular vectors of ``w``, by subspace iteration on a block of columns.
-
-    Only blocks of ``rank + spare`` columns are held beside ``w``."""
-    width = min(rank + spare, *w.shape) if len(w) else 0
+def leading(
+    blocks: Callable[[], Iterable[np.ndarray]], rows: int, columns: int, rank: int, spare: int = 16, rounds: int = 12,
+) -> np.ndarray:
+    """The leading right singular vectors of the matrix whose rows ``blocks`` yields, by
+    subspace iteration: ``rank + spare`` columns are held beside one block of rows."""
+    width = min(rank + spare, rows, columns)
     if not width:
-        return np.zeros((w.shape[1], 1), np.float32)
-    block = np.random.default_rng(5).standard_normal((w.shape[1], width)).astype(np.float32)
+        return np.zeros((columns, 1), np.float32)
+    basis = np.random.default_rng(5).standard_normal((columns, width)).astype(np.float32)
     for _ in range(rounds):
-        block, _ = np.linalg.qr(w.T @ (w @ block))
-    small = w @ block
-    values, turn = np.linalg.eigh(small.T @ small)
-    return np.ascontiguousarray(block @ turn[:, np.argsort(-values)][:, :rank])
+        basis, _ = np.linalg.qr(sum(w.T @ (w @ basis) for w in blocks()))
+    small = sum((w @ basis).T @ (w @ basis) for w in blocks())
+    values, turn = np.linalg.eigh(small)
+    return np.ascontiguousarray(basis @ turn[:, np.argsort(-values)][:, :rank])
 
 
 def predict(
