@@ -33,3 +33,36 @@ def test_menus_lead_beyond_the_ids_there_can_be(spark, tmp_path):
     con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
     found = QUERIES["menus_owned"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found)) == sorted(con.execute(ORACLES["menus_owned"]).fetchall())
+
+
+def test_codes_are_cut_from_stored_pages(spark, sf_dir):
+    assert "unhex" not in plan(QUERIES["dict_codes"](spark, sf_dir))
+
+
+def test_pages_are_numbered_without_ordering_their_bytes(spark, monkeypatch):
+    seen = []
+
+    class Watched(Ordered):
+        def __init__(self, df, *args, **options):
+            seen.extend(df.columns)
+            super().__init__(df, *args, **options)
+
+    monkeypatch.setattr(star, "Ordered", Watched)
+    pages = spark.createDataFrame(
+        [(5, 0, b"e"), (5, 1, b"f"), (2, 0, b"c"), (None, 1, b"b"), (None, 0, b"a"), (9, 0, b"g"), (2, 1, b"d")],
+        "entity_id long, page_no int, body binary")
+    found = star.number_pages(pages, ["entity_id"]).orderBy("page_id").select("page_id", "entity_id", "next_id", "body").collect()
+    assert "body" not in seen
+    assert [(r.page_id, r.next_id, bytes(r.body)) for r in found] == [
+        (1, 0, b"a"), (2, 0, b"b"), (3, 4, b"c"), (4, 0, b"d"), (5, 6, b"e"), (6, 0, b"f"), (7, 0, b"g")]
+
+
+def test_window_tasks_follow_the_pages(spark):
+    assert values._window_tasks(spark.range(100)) == 1
+    assert values._window_tasks(spark.range(1_000_000)) == 62
+
+
+def test_status_is_read_from_stored_pages(spark, sf_dir):
+    system = value_system(spark, sf_dir)
+    assert "unhex" not in plan(L.entity_status(system.pages("PATSTS")))
+    assert "unhex" not in plan(values.existing_entities(system))
