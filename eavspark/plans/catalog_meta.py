@@ -11,6 +11,7 @@ from eavspark.plans import metadata as M
 from eavspark.plans import star
 from eavspark.plans.menus import propagate
 from eavspark.plans.registry import query
+from eavspark.session import materialize
 from eavspark.sources import layouts as L
 
 # parts as items: group by brand number, every fifth static; type by size
@@ -199,16 +200,18 @@ UNION ALL SELECT c_custkey + 1, CAST(c_nationkey AS SMALLINT), c_name,
        lpad(c_nationkey::VARCHAR, 5, '0') FROM customer""")
 def dict_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as dictionary pages and customers as code pages, decoded and united."""
-    dictionary = star.table(spark, sf_dir, "supplier").select(
+    dictionary = star.spread(star.table(spark, sf_dir, "supplier"), "s_suppkey").select(
         (F.col("s_suppkey") + 1).alias("page_id"),
         E.fields(64, (0, 64, E.fixed_text(F.col("s_name"), 64))).alias("bytes"))
-    codes = star.table(spark, sf_dir, "customer").select(
+    codes = star.spread(star.table(spark, sf_dir, "customer"), "c_custkey").select(
         (F.col("c_custkey") + 1).alias("page_id"),
         E.fields(
             96, (0, 80, E.fixed_text(F.col("c_name"), 80)),
             (80, 2, E.int_bytes(F.col("c_nationkey"), 2)),
             (84, 5, E.fixed_text(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), 5)),
         ).alias("bytes"))
+    # stored, so that fields are cut from bytes and not from the expressions that made them
+    dictionary, codes = materialize(dictionary, "dict"), materialize(codes, "codes")
     return M.lookups(L.project(dictionary, "DICT"), L.project(codes, "CODES"))
 
 
