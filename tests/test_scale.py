@@ -39,6 +39,16 @@ def test_codes_are_cut_from_stored_pages(spark, sf_dir):
     assert "unhex" not in plan(QUERIES["dict_codes"](spark, sf_dir))
 
 
+def test_kinds_are_encoded_by_many_tasks(spark, tmp_path, sf_dir):
+    parts(spark, tmp_path, [*range(60), 7, 7, None])
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    customer.unionByName(customer.where("c_custkey = 7")).write.parquet(f"{tmp_path}/customer.parquet")
+    assert catalog_kinds._note_pages(spark, str(tmp_path)).rdd.getNumPartitions() > 1
+    counted = catalog_kinds._raw(spark, str(tmp_path)).groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(map(str, map(tuple, counted.collect()))) == sorted(
+        map(str, map(tuple, catalog_kinds._raw_counts(spark, str(tmp_path)).collect())))
+
+
 def test_pages_are_numbered_without_ordering_their_bytes(spark, monkeypatch):
     seen = []
 
