@@ -35,6 +35,20 @@ def test_menus_lead_beyond_the_ids_there_can_be(spark, tmp_path):
     assert sorted(map(tuple, found)) == sorted(con.execute(ORACLES["menus_owned"]).fetchall())
 
 
+def test_buckets_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(64).select(
+        (F.col("id") * (1 << buckets.BUCKET_BITS)).alias("entity_id"), F.lit(1).cast("smallint").alias("attribute_id"),
+        F.lit(1).cast("long").alias("seq"), F.lit("x").alias("value"))
+    assert buckets.write_buckets(rows, f"{tmp_path}/t", "value_texts") == 64
+    tasks = {re.search(r"part-(\d+)", f)[1] for f in map(str, (tmp_path / "t").rglob("*.parquet"))}
+    assert len(tasks) > 4
+    long = spark.range(200_000).select(
+        F.lit(1).cast("long").alias("entity_id"), F.lit(1).cast("smallint").alias("attribute_id"), F.col("id").alias("seq"), F.lit("x").alias("value"))
+    buckets.write_buckets(long, f"{tmp_path}/long", "value_texts")
+    assert len(list((tmp_path / "long").rglob("*.parquet"))) > 1  # one series, several tasks
+    assert buckets.read_buckets(spark, f"{tmp_path}/long", "value_texts").count() == 200_000
+
+
 def test_codes_are_cut_from_stored_pages(spark, sf_dir):
     assert "unhex" not in plan(QUERIES["dict_codes"](spark, sf_dir))
 
