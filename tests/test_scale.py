@@ -90,3 +90,8 @@ def test_status_is_read_from_stored_pages(spark, sf_dir):
     system = value_system(spark, sf_dir)
     assert "unhex" not in plan(L.entity_status(system.pages("PATSTS")))
     assert "unhex" not in plan(values.existing_entities(system))
+
+
+def test_parts_of_short_pages_are_bounded_in_pages():
+    assert paged.pages_per_part(32) <= 1 << 20
+    assert paged.pages_per_part(1024) * 1024 <= 64 << 20
