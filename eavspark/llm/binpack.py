@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavspark.llm.common import arrow_schema, rows
-from eavspark.llm.encoding import WITH_SPACE, encoder_for, groups
+from eavspark.llm.common import arrow_schema
+from eavspark.llm.encoding import WITH_SPACE, encoder_for, gathered
 from eavspark.session import materialize
 
 Pattern = tuple[tuple[int, ...], int]  # lengths in falling order, number of sequences
@@ -204,22 +204,21 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, id_column:
     def cut(batches: Iterator[pa.RecordBatch]):
         encoder, end = encoder_for(tokenizer, WITH_SPACE), np.array([end_id], "<u4").tobytes()
         task, seen, schema = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), arrow_schema(PIECES)
-        for batch in rows(batches, text):
-            for at, some in groups(batch.column(1).to_pylist()):
-                row, out = [], []
-                for i, ids in enumerate(encoder(some), at):
-                    ids += end
-                    n = len(ids) // 4
-                    begin = 0
-                    stops = range(n % capacity or capacity, n + 1, capacity) if n > capacity else (n,)
-                    for j, stop in enumerate(stops):
-                        size = stop - begin
-                        row.append(i)
-                        out.append((j, begin, size, zlib.crc32(ids[4 * begin : 4 * stop]), task, int(seen[size])))
-                        seen[size] += 1
-                        begin = stop
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *columns], names=["doc_id", *schema.names])
+        for batch in gathered(batches, text):
+            row, out = [], []
+            for i, ids in enumerate(encoder(batch.column(1))):
+                ids += end
+                n = len(ids) // 4
+                begin = 0
+                stops = range(n % capacity or capacity, n + 1, capacity) if n > capacity else (n,)
+                for j, stop in enumerate(stops):
+                    size = stop - begin
+                    row.append(i)
+                    out.append((j, begin, size, zlib.crc32(ids[4 * begin : 4 * stop]), task, int(seen[size])))
+                    seen[size] += 1
+                    begin = stop
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *columns], names=["doc_id", *schema.names])
 
     return df.select(id_column, text).mapInArrow(cut, f"doc_id {kind}, {PIECES}")
 

@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavspark.llm.common import rows
-from eavspark.llm.encoding import WITHOUT_SPACE, encoder_for, groups
+from eavspark.llm.encoding import WITHOUT_SPACE, encoder_for, gathered
 from eavspark.session import materialize, shared_dir
 
 BLOCK = 128
@@ -47,7 +46,7 @@ def encode_blocks(ids: np.ndarray, percentile: float = 90.0) -> list[bytes]:
     count = -(-len(ids) // BLOCK)
     if not count:
         return []
-    full = np.empty(count * BLOCK, np.uint64)
+    full = np.empty(count * BLOCK, "<u4")
     full[: len(ids)] = ids
     full[len(ids) :] = ids[(count - 1) * BLOCK]
     v = full.reshape(count, BLOCK)
@@ -55,26 +54,30 @@ def encode_blocks(ids: np.ndarray, percentile: float = 90.0) -> list[bytes]:
     v = v - low[:, None]
     place = min(BLOCK - 1, int(BLOCK * percentile / 100))
     width = _bits(np.partition(v, place, axis=1)[:, place])
-    out: list[bytes] = [b""] * count
+    block, at = np.nonzero(v >= np.ldexp(1.0, width)[:, None])
+    odd = np.bincount(block, minlength=count)
+    ends = np.cumsum(6 + 16 * width + 5 * odd)
+    starts = np.append(0, ends[:-1])
+    out = np.empty(ends[-1], np.uint8)
+    out[starts[:, None] + np.arange(4)] = low.view(np.uint8).reshape(-1, 4)
+    out[starts + 4], out[starts + 5] = width, odd
     for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        part = v[at]
-        high = part >> np.uint64(w)
-        packed = np.zeros((len(at), 4 * int(w) + 1), np.uint64)
-        keep = part & np.uint64((1 << int(w)) - 1)
-        for j in range(BLOCK if w else 0):
-            word, shift = divmod(j * int(w), 32)
-            x = keep[:, j] << np.uint64(shift)
-            packed[:, word] |= x & np.uint64(0xFFFFFFFF)
-            packed[:, word + 1] |= x >> np.uint64(32)
-        data = packed[:, : 4 * int(w)].astype("<u4")
-        for n, b in enumerate(at):
-            odd = np.flatnonzero(high[n])
-            out[b] = b"".join((
-                struct.pack("<IBB", int(low[b]), int(w), len(odd)), data[n].tobytes(),
-                odd.astype(np.uint8).tobytes(), high[n, odd].astype("<u4").tobytes(),
-            ))
-    return out
+        of = np.flatnonzero(width == w)
+        bits = np.unpackbits(v[of].view(np.uint8).reshape(-1, BLOCK, 4), axis=2, count=int(w), bitorder="little")
+        packed = np.packbits(bits.reshape(len(of), BLOCK * int(w)), axis=1, bitorder="little")
+        out[starts[of][:, None] + 6 + np.arange(16 * w)] = packed
+    places, high = _exceptions(starts, width, odd, block)
+    out[places] = at
+    out[high] = (v[block, at].astype(np.uint64) >> width[block].astype(np.uint64)).astype("<u4").view(np.uint8).reshape(-1, 4)
+    data = out.tobytes()
+    return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def _exceptions(starts: np.ndarray, width: np.ndarray, odd: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the place and the high bits (four bytes) of every exception stand; ``block`` is its block."""
+    nth = np.arange(len(block)) - (np.cumsum(odd) - odd)[block]
+    places = (starts + 6 + 16 * width)[block]
+    return places + nth, (places + odd[block] + 4 * nth)[:, None] + np.arange(4)
 
 
 def decode_blocks(data: bytes, starts: np.ndarray, total: int) -> np.ndarray:
@@ -82,26 +85,19 @@ def decode_blocks(data: bytes, starts: np.ndarray, total: int) -> np.ndarray:
     if not len(starts):
         return np.empty(0, np.uint32)
     raw = np.frombuffer(data, np.uint8)
-    head = raw[starts[:, None] + np.arange(6)]
-    low = head[:, :4].copy().view("<u4")[:, 0].astype(np.uint64)
-    width, odd = head[:, 4].astype(int), head[:, 5].astype(int)
-    out = np.empty((len(starts), BLOCK), np.uint64)
+    low = raw[starts[:, None] + np.arange(4)].view("<u4")
+    width, odd = raw[starts + 4].astype(int), raw[starts + 5].astype(int)
+    out = np.empty((len(starts), BLOCK), "<u4")
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        size = 16 * int(w)
-        words = np.zeros((len(at), 4 * int(w) + 1), np.uint64)
-        words[:, :-1] = raw[starts[at][:, None] + 6 + np.arange(size)].reshape(len(at), size).view("<u4")
-        mask = np.uint64((1 << int(w)) - 1)
-        for j in range(BLOCK):
-            word, shift = divmod(j * int(w), 32)
-            pair = words[:, word] if not w else words[:, word] | (words[:, word + 1] << np.uint64(32))
-            out[at, j] = (pair >> np.uint64(shift)) & mask
-    for b in np.flatnonzero(odd):
-        s = int(starts[b]) + 6 + 16 * int(width[b])
-        places = raw[s : s + odd[b]]
-        high = np.frombuffer(data, "<u4", int(odd[b]), s + int(odd[b])).astype(np.uint64)
-        out[b, places] |= high << np.uint64(width[b])
-    return (out + low[:, None]).reshape(-1)[:total].astype(np.uint32)
+        packed = raw[starts[at][:, None] + 6 + np.arange(16 * w)]
+        bits = np.zeros((len(at), BLOCK, 32), np.uint8)
+        bits[:, :, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), BLOCK, int(w))
+        out[at] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
+    block = np.repeat(np.arange(len(starts)), odd)
+    places, high = _exceptions(starts, width, odd, block)
+    out[block, raw[places]] |= raw[high].view("<u4")[:, 0] << width[block].astype(np.uint32)
+    return (out + low).reshape(-1)[:total].astype(np.uint32)
 
 
 class Writer:
@@ -152,7 +148,7 @@ def read_file(source, step: int = 2048) -> Iterator[tuple[int | None, bytes]]:
     null = np.frombuffer(tail, "u1", docs, 8 * docs)
     counts = np.frombuffer(tail, "<i8", docs, 9 * docs)
     starts = np.append(np.frombuffer(tail, "<u8", blocks, 17 * docs).astype(np.int64), place)
-    held, at = b"", 0
+    held, begin, at = b"", 0, 0
 
     def more() -> bytes:
         nonlocal at
@@ -164,14 +160,14 @@ def read_file(source, step: int = 2048) -> Iterator[tuple[int | None, bytes]]:
         return got
 
     for name, missing, n in zip(names.tolist(), null.tolist(), counts.tolist(), strict=True):
-        if len(held) < 4 * n:
-            parts, have = [held], len(held)
+        if len(held) - begin < 4 * n:
+            parts, have = [held[begin:]], len(held) - begin
             while have < 4 * n:
                 parts.append(more())
                 have += len(parts[-1])
-            held = b"".join(parts)
-        yield (None if missing else name), held[: 4 * n]
-        held = held[4 * n :]
+            held, begin = b"".join(parts), 0
+        yield (None if missing else name), held[begin : begin + 4 * n]
+        begin += 4 * n
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
@@ -210,17 +206,15 @@ def write(
             writer.close()
             listed.append((task.partitionId(), len(listed), scheme + path, len(writer.docs), writer.total, writer.place))
 
-        for batch in rows(batches, "text"):
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, some in groups(texts):
-                for name, ids in zip(names[start:], encoder(some), strict=False):
-                    if writer is not None and writer.total >= ids_per_file:
-                        closed()
-                        writer = None
-                    if writer is None:
-                        path = f"{root}/{task.partitionId():06d}-{len(listed):04d}-{uuid.uuid4().hex}.tkb"
-                        writer = Writer(where.open_output_stream(path))
-                    writer.add(name, ids + end)
+        for batch in gathered(batches, "text"):
+            for name, ids in zip(batch.column(0).to_pylist(), encoder(batch.column(1)), strict=True):
+                if writer is not None and writer.total >= ids_per_file:
+                    closed()
+                    writer = None
+                if writer is None:
+                    path = f"{root}/{task.partitionId():06d}-{len(listed):04d}-{uuid.uuid4().hex}.tkb"
+                    writer = Writer(where.open_output_stream(path))
+                writer.add(name, ids + end)
         if writer is not None:
             closed()
         columns = list(zip(*listed, strict=True)) or [()] * 6

@@ -123,3 +123,39 @@ def test_encoder_equals_the_plain_call(vocabulary):
         for _ in range(2):
             got = [np.frombuffer(b, "<u4").tolist() for at in range(0, len(texts), 50) for b in encoder(texts[at : at + 50])]
             assert got == plain
+
+
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_learned_once_with_any_mark_behind_them(vocabulary):
+    """The library meets a word once, not once for every mark (and case, where that counts for nothing)."""
+    from eavspark.llm import encoding
+
+    spaced = vocabulary.startswith("byte")
+    encoder = encoding.Encoder(token_blocks.default_tokenizer(vocabulary), encoding.WITH_SPACE if spaced else encoding.WITHOUT_SPACE)
+    met = []
+    library = encoder._tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            met.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder._tokenizer = Counting()
+    words = ["wandering", "niñera", "crème", "H"]
+    texts = [f" {w}{mark}" for w in words for mark in ("", ".", ",", "!!", ";", "###", "\u0331", "×", "\xa0 ", "'s")]
+    texts += [] if spaced else [t.upper() for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    text = " ".join(met).lower()
+    # alone, and before what is no ASCII mark (an accent, a cross, a space, an apostrophe), where capitals stay but before the last
+    assert text.count("wandering") == (5 if spaced else 8)
+
+
+def test_gathered_rows_stay_whole_and_in_order():
+    import pyarrow as pa
+    from eavspark.llm import encoding
+
+    texts = [None, "", "é" * 3000, *("ab cd" for _ in range(700)), None, "x" * 50]
+    table = pa.table({"id": range(len(texts)), "text": texts})
+    got = list(encoding.gathered(iter(table.to_batches(max_chunksize=90)), "text", 1000))
+    assert [(i, None if t is None else t.decode()) for b in got for i, t in zip(*(c.to_pylist() for c in b.columns), strict=True)] == list(enumerate(texts))
+    assert max(b.column(1).nbytes for b in got if b.num_rows > 1) < 2 * 1000 + 8 * 256 + 6000
