@@ -40,10 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node reachable, for every node of an edge.
 
     Alternating large-star and small-star rounds; each is aggregated before it is
-    shuffled and written to the shared folder. Ends when a round changes nothing.
+    shuffled and written to the shared folder. Ends when every node has its root beside it.
     """
     edges = materialize(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), "edges")
-    while True:
+    while not _stars(edges):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
@@ -52,13 +52,19 @@ def components(edges: DataFrame) -> DataFrame:
             large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
             .where("u < v").distinct()
         )
-        after = materialize(small, "edges")
-        same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
-        edges = after
-        if same:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
-                edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
-            )
+        edges = materialize(small, "edges")
+    return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
+        edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
+    )
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every ``v`` has one ``u`` that is no other's ``v``: that ``u`` is then its root."""
+    up = F.lit(1).alias("up"), F.lit(0).alias("down")
+    down = F.lit(0).alias("up"), F.lit(1).alias("down")
+    nodes = edges.select(F.col("v").alias("node"), *up).unionByName(edges.select(F.col("u").alias("node"), *down))
+    ends = nodes.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.agg(F.max((F.col("up") + F.col("down") > 1) & (F.col("up") > 0))).first()[0]
 
 
 Links = Callable[[list[dict], list[dict]], list[tuple[bytes, bytes]]]

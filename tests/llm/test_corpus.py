@@ -91,6 +91,18 @@ def test_near_duplicates_with_shared_ids(spark):
     assert {r.component_id for r in got} == {1} and sum(r.kept for r in got) == 2
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Links that already lead to the least node need no round, and no round is spent on seeing that nothing changes."""
+    from eavspark.llm import cells
+
+    stored, store = [], cells.materialize
+    monkeypatch.setattr(cells, "materialize", lambda *a: stored.append(1) or store(*a))
+    for edges, times in (([(1, 2), (3, 1), (7, 9)], 1), ([(2, 1), (2, 3)], 2), ([], 1)):
+        stored.clear()
+        got = {r.node: r.root for r in cells.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {n: 7 if n > 6 else 1 for e in edges for n in e} and len(stored) == times
+
+
 def test_components_end_with_the_least_node(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 200), (200, 300), (100, 300)]
     got = {r.node: r.root for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
