@@ -199,7 +199,7 @@ def encoder_for(path: str, spaced: bool) -> Encoder:
     return _encoders[path, spaced]
 
 
-def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in batches with about ``size`` bytes of text, the text as bytes."""
     held, total = [], 0
     for part in small_slices(batches, text, size):
