@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eavspark.llm import binpack, mixing, neardup, neighbours, secrets, token_blocks
 from eavspark.llm.common import table
-from eavspark.session import materialize
+from eavspark.session import materialize, small_batches
 from eavspark.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,6 +37,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the neighbours vote for. The labels learned from are all there are."""
+    small_batches(spark)
     model = neighbours.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return neighbours.predict(docs.select(*COLUMNS), model, keep=COLUMNS).where("predicted = 1").select(*COLUMNS)
 
@@ -55,16 +56,19 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with secrets (encoded ones too) replaced by a mark."""
+    small_batches(spark)
     return _documents(secrets.redacted(docs.select(*COLUMNS)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by weights 3, 1, 2 to 150% of the words: a row per time a document is taken."""
+    small_batches(spark)
     return _documents(mixing.mix(_numbered(docs), key="row"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens; repeated documents are packed once per row."""
+    small_batches(spark)
     return binpack.pack(docs, token_blocks.default_tokenizer("byte_bpe_50k.json"))
 
 

@@ -4,7 +4,8 @@ A block is a set of classes that may be alike. The class that names a block sear
 its partners among the members; what that links is one component, however large. Only
 members of other components than the block's largest search again, among all of the
 block's members. Blocks of any size are cut in cells (members x searchers) of bounded
-size, and a cell returns the links that join components, not all pairs.
+size, and a cell returns the roots that its links join, not all pairs. So the second
+search leaves a graph of components, not of classes, which is small.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
     while not _stars(edges):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
+        # no more rows than edges, so equal ones may wait for the end of the round
+        large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u < v")
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (
             large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v"))
@@ -71,7 +73,7 @@ Links = Callable[[list[dict], list[dict]], list[tuple[bytes, bytes]]]
 
 
 def search(placed: DataFrame, payload: DataFrame, links: Links) -> DataFrame:
-    """(a, b): links between the searchers and the members of each block.
+    """(a, b): roots that links between the searchers and the members of each block join.
 
     ``placed`` is (block, class, n, root, searcher), ``payload`` what ``links`` needs to
     know of a class. A block's members and searchers are dealt to as many parts as their
@@ -115,11 +117,16 @@ def grouped(meet: DataFrame, heads: DataFrame, payload: DataFrame, links: Links)
     member, searcher = F.lit(False).alias("searcher"), F.lit(True).alias("searcher")
     first = meet.select("*", member).unionByName(heads.select("*", searcher)).withColumn("root", F.col("class"))
     found = materialize(search(first, payload, links), "links")
+    low = components(found)
     known = materialize(
-        meet.join(components(found).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "known"
+        meet.join(low.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "known"
     )
     sizes = known.groupBy("block", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("block").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("block", F.col("m.root").alias("main"))
     rest = known.join(main, "block")
     again = rest.select("block", "class", "n", "root", member).unionByName(rest.where("root <> main").select("block", "class", "n", "root", searcher))
-    return components(found.unionByName(materialize(search(again, payload, links), "links")))
+    over = components(materialize(search(again, payload, links), "links"))
+    # a node of ``over`` is a component of the first search, or a class that it linked with none
+    top = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = low.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return moved.unionByName(over.join(low.where("node = root").select("node"), "node", "left_anti"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from eavspark.llm.cells import Roots, components, grouped  # noqa: F401 - components is offered here too
 from eavspark.llm.common import arrow_schema, mix, rows, shingle_set
-from eavspark.session import materialize
+from eavspark.session import materialize, small_batches
 
 _DRAW = np.random.PCG64(13).random_raw(512)
 
@@ -91,7 +91,7 @@ def shingle_sets(df: DataFrame, words: int, text: str) -> DataFrame:
 
 
 def cell_links(members: list[dict], searchers: list[dict], percent: int, screen: int) -> list[tuple[bytes, bytes]]:
-    """Links of one cell that join components; both sides have class, n, root, sig and items.
+    """Components that links of one cell join, by their roots; both sides have n, root, sig and items.
 
     Signatures that agree in ``screen`` places are compared on the full sets."""
     sigs = np.array([np.frombuffer(m["sig"], np.uint32) for m in members])
@@ -108,7 +108,7 @@ def cell_links(members: list[dict], searchers: list[dict], percent: int, screen:
             shared = len(np.intersect1d(s["items"], m["items"], assume_unique=True))
             if 100 * shared >= percent * (s["n"] + m["n"] - shared):
                 roots.join(own, its)
-                out.append((s["class"], m["class"]))
+                out.append((s["root"], m["root"]))
     return out
 
 
@@ -126,6 +126,7 @@ def near_duplicates(
     112 signature values in 28 bands of four find a pair at similarity 0.8 with
     probability 1 - 4e-7, more alike ones more surely; what is found is then exact.
     """
+    small_batches(df.sparkSession)
     found = materialize(sketches(df, words, permutations, width, id_column, text), "sketches")
     some = found.where(F.col("class").isNotNull())
     classes = some.groupBy("class").agg(F.min("n_shingles").alias("n"), F.min(F.struct("sig", "bands")).alias("s"))
@@ -140,11 +141,10 @@ def near_duplicates(
     screen = int(2 * permutations * max(0.0, percent / 100 - 0.24))  # over six deviations below
     groups = grouped(meet, heads, payload, lambda own, asks: cell_links(own, asks, percent, screen))
     # the smallest id of a class, then of its component
-    ids = some.groupBy("class").agg(F.min("doc_id").alias("id"))
-    known = ids.join(groups, ids["class"] == groups["node"], "left").select("class", "id", F.coalesce("root", "class").alias("root"))
+    ids = some.groupBy("class").agg(F.min("doc_id").alias("id"), F.count("*").alias("c"))
+    known = ids.join(groups, ids["class"] == groups["node"], "left").select("class", "id", F.coalesce("root", "class").alias("root"), ((F.col("c") > 1) | F.col("root").isNotNull()).alias("shared"))
     least = known.groupBy("root").agg(F.min("id").alias("component"))
-    shared = some.groupBy("class").agg(F.count("*").alias("c")).where("c > 1").select("class").unionByName(groups.select(F.col("node").alias("class"))).distinct()
-    answer = materialize(known.join(shared, "class", "left_semi").join(least, "root").select("class", "component"), "answer")
+    answer = materialize(known.where("shared").join(least, "root").select("class", "component"), "answer")
     return (
         found.join(answer, "class", "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))

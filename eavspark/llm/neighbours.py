@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,23 +95,21 @@ def fit(
     chosen = have.mapInArrow(vectors, f"_id {kind}, _y int, _at binary, _v binary").orderBy(F.xxhash64("_id"), F.xxhash64("_at", "_v")).limit(limit)
     got = chosen.select("_y", "_at", "_v").toArrow()  # at most ``limit`` sparse rows
     y = got.column("_y").to_numpy().astype(np.float64)
-    terms = [np.frombuffer(at.as_py(), np.uint16) for at in got.column("_at")]
-    values = [np.frombuffer(n.as_py(), np.float32) for n in got.column("_v")]
+    (terms, ends), (values, _) = joined(got.column("_at"), np.uint16), joined(got.column("_v"), np.float32)
     del got
-    held = np.zeros(TERMS, np.int64)
-    for at in terms:
-        held[at] += 1
+    spans = list(pairwise(ends.tolist()))
+    held = np.bincount(terms, minlength=TERMS)  # a text names each of its terms once
     idf = np.log((1 + len(y)) / (1 + held)).astype(np.float32) + np.float32(0.1)
-    for i, at in enumerate(terms):
-        x = np.log1p(values[i]) * idf[at]
-        values[i] = x / max(float(np.sqrt(x @ x)), 1e-12)
+    for a, b in spans:
+        x = np.log1p(values[a:b]) * idf[terms[a:b]]
+        values[a:b] = x / max(float(np.sqrt(x @ x)), 1e-12)
 
     def blocks():
         """The weighted rows, dense, a few at a time."""
-        for first in range(0, len(terms), 512):
-            w = np.zeros((len(terms[first : first + 512]), TERMS), np.float32)
-            for row, at, x in zip(w, terms[first:], values[first:], strict=False):
-                row[at] = x
+        for first in range(0, len(spans), 512):
+            w = np.zeros((len(spans[first : first + 512]), TERMS), np.float32)
+            for row, (a, b) in zip(w, spans[first:], strict=False):
+                row[terms[a:b]] = values[a:b]
             yield w
 
     axes = leading(blocks, len(y), TERMS, min(rank, len(y)))
@@ -118,6 +118,19 @@ def fit(
     return Model(idf, axes, v, y, k)
 
 
+def joined(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers packed in the values of a binary column, in one array, and where each value begins and the last ends."""
+    out = np.empty(sum(pc.sum(pc.binary_length(c)).as_py() or 0 for c in column.chunks) // np.dtype(kind).itemsize, kind)
+    ends, at = [np.zeros(1, np.int64)], 0
+    for c in column.chunks:
+        of = np.frombuffer(c.buffers()[1] or bytes(4), np.int32)[c.offset : c.offset + len(c) + 1].astype(np.int64)
+        data = np.frombuffer(c.buffers()[2] or b"", np.uint8)[of[0] : of[-1]].view(kind)
+        out[at : at + len(data)] = data
+        ends.append(at + (of[1:] - of[0]) // np.dtype(kind).itemsize)
+        at += len(data)
+    return out, np.concatenate(ends)
+
+
 def leading(
     blocks: Callable[[], Iterable[np.ndarray]], rows: int, columns: int, rank: int, spare: int = 16, rounds: int = 12,
 ) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from eavspark.llm.cells import Roots, grouped
 from eavspark.llm.common import shingle_set, small_slices
 from eavspark.llm.neardup import digest
-from eavspark.session import materialize
+from eavspark.session import materialize, small_batches
 
 RANGE = 1 << 21  # shingles of a hash range
 MU = 0.0085  # weighs a probe against a step of the merge
@@ -85,7 +85,7 @@ def holds(a: list[int], record: int) -> bool:
 
 
 def cell_links(members: list[dict], searchers: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
-    """Links of one cell that join components; both sides have class, n, root and tokens."""
+    """Components that links of one cell join, by their roots; both sides have n, root and tokens."""
     asked = np.unique(np.concatenate([s["tokens"] for s in searchers]))
     owner = np.repeat(np.arange(len(members)), [len(m["tokens"]) for m in members])
     tokens = np.concatenate([m["tokens"] for m in members])
@@ -112,7 +112,7 @@ def cell_links(members: list[dict], searchers: list[dict], percent: int) -> list
                 count += holds(a, record)
             if count >= need:
                 roots.join(own, its)
-                out.append((s["class"], members[record]["class"]))
+                out.append((s["root"], members[record]["root"]))
     return out
 
 
@@ -138,21 +138,26 @@ def ranges(df: DataFrame, words: int, count: int) -> DataFrame:
     hash, low 32 bits packed, beside the classes they come from (first 8 bytes) and how many each."""
 
     def deal(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        names, each = np.array(list(held), np.int64), [len(s) for s in held.values()]
         tokens = np.concatenate(list(held.values()))
-        owner = np.repeat(np.array(list(held), np.int64), [len(s) for s in held.values()])
-        where = ((tokens >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+        held.clear()
+        where = tokens >> np.uint64(32)
+        where *= np.uint64(count)
+        where >>= np.uint64(32)
+        tokens, where = tokens.astype(np.uint32), where.astype(np.uint32)
         order = np.argsort(where, kind="stable")
-        tokens, owner, where = tokens[order].astype(np.uint32), owner[order], where[order]
-        some, starts = np.unique(where, return_index=True)
-        rows = []
+        owner = np.repeat(np.arange(len(names), dtype=np.int32), each)[order]
+        tokens, where = tokens[order], where[order]
+        starts = np.flatnonzero(np.diff(where, prepend=~where[:1]))
+        some, rows = where[starts], []
         for a, b in zip(starts, [*starts[1:], len(where)], strict=True):
             runs = np.flatnonzero(np.diff(owner[a:b], prepend=~owner[a]))
-            rows.append((tokens[a:b].tobytes(), owner[a:b][runs].tobytes(), np.diff(runs, append=b - a).astype(np.uint32).tobytes()))
+            rows.append((tokens[a:b].tobytes(), names[owner[a:b][runs]].tobytes(), np.diff(runs, append=b - a).astype(np.uint32).tobytes()))
         columns = [pa.array(some, pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*rows, strict=True))]
         return pa.RecordBatch.from_arrays(columns, names=["range", "tokens", "classes", "sizes"])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}  # deal() empties it
         size = 0
         for part in small_slices(batches, "text"):
             for t in part.column(0).to_pylist():
@@ -163,7 +168,7 @@ def ranges(df: DataFrame, words: int, count: int) -> DataFrame:
                     held[name] = s
             if size > RANGE:
                 yield deal(held)
-                held, size = {}, 0
+                size = 0
         if held:
             yield deal(held)
 
@@ -179,14 +184,16 @@ def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
         tokens, classes, sizes = (
             np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("tokens", np.uint32), ("classes", np.int64), ("sizes", np.uint32))
         )
-        owner = np.repeat(classes, sizes)
-        order = np.lexsort((owner, tokens))
-        tokens, owner = tokens[order], owner[order]
-        new = np.diff(tokens, prepend=~tokens[:1]) != 0
-        once = new | (np.diff(owner, prepend=~owner[:1]) != 0)  # a class met in several tasks counts once
-        starts, owner = np.flatnonzero(new[once]), owner[once]
-        many = np.diff(starts, append=len(owner))
-        names, n = np.unique(owner[np.repeat(many > 1, many)], return_counts=True)
+        classes, which = np.unique(classes, return_inverse=True)
+        met = tokens.astype(np.uint64)  # a token above, the place of its class below
+        met <<= np.uint64(32)
+        met |= np.repeat(which.astype(np.uint32), sizes)
+        met.sort()
+        met = met[np.append(True, met[1:] != met[:-1])]  # a class met in several tasks counts once
+        owner, tokens = met.astype(np.uint32), (met >> np.uint64(32)).astype(np.uint32)
+        same = tokens[1:] == tokens[:-1]
+        n = np.bincount(owner[np.append(same, False) | np.append(False, same)], minlength=len(classes))
+        names, n = classes[n > 0], n[n > 0]
         where = names % parts
         order = np.argsort(where, kind="stable")
         split = np.split(order, np.flatnonzero(np.diff(where[order])) + 1) if len(order) else []
@@ -244,6 +251,7 @@ def jaccard_groups(
     gives no rows. Equal hashes (64 bits, classes 160) stand for equal shingles; the
     links are exact otherwise, whatever the sizes of texts and groups.
     """
+    small_batches(df.sparkSession)
     docs = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = materialize(classes_of(docs, words), "classes")
     some = found.where(F.col("class").isNotNull())

@@ -10,7 +10,7 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from eavspark.llm import cells, divergence, lexical, overlap, queries
+from eavspark.llm import cells, divergence, lexical, neardup, overlap, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, term string, block long, tokens string, rank int"
@@ -100,6 +100,27 @@ def test_join_of_nothing_and_of_shared_and_null_ids(spark):
     )
 
 
+def test_second_search_links_components():
+    """A cell names the components that its links join, so what is left to join is small."""
+    tokens = np.arange(20)
+    sets = [{"class": c, "root": r, "n": 20, "tokens": tokens} for c, r in ((b"b", b"a"), (b"c", b"a"), (b"d", b"d"))]
+    assert overlap.cell_links(sets[:2], sets[2:], 90) == [(b"d", b"a")]
+    sets = [{**s, "sig": bytes(16), "items": tokens} for s in sets]
+    assert neardup.cell_links(sets[:2], sets[2:], 80, 2) == [(b"d", b"a")]
+
+
+def test_groups_of_both_searches(spark):
+    """Classes that only the second search links, and components that it joins, end at their least class."""
+    names = [bytes([c]) for c in b"abcdefg"]
+    meet = spark.createDataFrame([(1, c, 1) for c in names[:6]] + [(2, names[6], 1)], "block long, class binary, n long")
+    heads = spark.createDataFrame([(1, b"b", 1), (2, b"g", 1)], "block long, class binary, n long")
+    payload = spark.createDataFrame([(c, 0) for c in names], "class binary, x int")
+    first, second = [(b"b", b"c"), (b"b", b"f")], [(b"a", b"b"), (b"d", b"e")]
+    for then, wanted in ((second, {b"a": b"a", b"b": b"a", b"c": b"a", b"f": b"a", b"d": b"d", b"e": b"d"}), ([], {b"b": b"b", b"c": b"b", b"f": b"b"})):
+        got = cells.grouped(meet, heads, payload, lambda own, asks, then=then: then if len(asks) > 1 else first if len(own) > 1 else [])
+        assert sorted((bytes(r.node), bytes(r.root)) for r in got.collect()) == sorted(wanted.items())
+
+
 def test_divide_skip_finds_what_counting_finds():
     rng = random.Random(4)
     for _ in range(300):

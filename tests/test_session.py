@@ -46,3 +46,21 @@ def test_a_cluster_must_name_a_folder(master):
 def test_one_machine_makes_its_own(master):
     cluster = Cluster(master)
     assert session.shared_dir(cluster) == cluster.own
+
+
+def test_python_tasks_get_small_batches(spark):
+    """Long rows do not meet by the thousand in one batch; a session's own setting stands."""
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"n": [b.nbytes]}, schema=None)
+
+    try:
+        session.small_batches(spark)
+        long = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) as t")
+        assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) <= 2 * session.BATCH
+        spark.conf.set(session.BATCH_KEY, 1 << 20)
+        session.small_batches(spark)
+        assert spark.conf.get(session.BATCH_KEY) == str(1 << 20)
+    finally:
+        spark.conf.unset(session.BATCH_KEY)
