@@ -143,3 +143,16 @@ def test_chain_of_nothing(spark, learned):
     toxic = {"toxic": F.col("toxic") == 1}
     empty = toxicity.fit(docs, labels.where("doc_id < 0"), toxic)
     assert {round(r["p_toxic"], 6) for r in toxicity.predict(docs.drop("p_toxic"), empty).collect()} == {0.5}
+
+
+def test_packed_numbers_join_into_one_array():
+    """The rows that ``fit`` gets stand in one array, whatever the chunks they came in."""
+    import pyarrow as pa
+    from eavspark.llm.neighbours import joined
+
+    rows = [[1, 2], [], [3], [4, 5, 6], [7]]
+    packed = pa.array([np.array(r, np.float32).tobytes() for r in rows], pa.binary())
+    numbers, ends = joined(pa.chunked_array([packed[:2], packed[2:2], packed[2:]]), np.float32)
+    assert numbers.tolist() == [1, 2, 3, 4, 5, 6, 7] and ends.tolist() == [0, 2, 2, 3, 6, 7]
+    numbers, ends = joined(pa.chunked_array([], pa.binary()), np.uint16)
+    assert len(numbers) == 0 and ends.tolist() == [0]
