@@ -207,6 +207,46 @@ def test_secrets_in_long_torn_and_joined_streams(pack):
     assert kinds(pack(blank[: secrets.PIECE - 8] + secret + blank[: secrets.PIECE])) == {0}
 
 
+PACKS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress]
+
+
+@pytest.mark.parametrize("inner", PACKS)
+@pytest.mark.parametrize("outer", PACKS)
+def test_secrets_in_streams_in_streams(inner, outer):
+    def kinds(data):
+        text = "see " + base64.b64encode(data).decode() + " end"
+        return {k for a, k, b in secrets.find(text)[1] if (a, b) == (4, len(text) - 4)}
+
+    secret, key = SECRET.encode(), b"AKIA" + b"A" * 16
+    assert kinds(outer(inner(secret))) == {0}
+    assert kinds(outer(outer(inner(b"\x00" + inner(secret))))) == {0}
+    assert kinds(outer(b"\xff\x00 a" + inner(secret) + b"\x80 b" + inner(key))) == {0, 1}
+    rest = bytes(random.Random(8).randbytes(300_000))
+    if inner is not bz2.compress:  # its blocks are whole or nothing
+        assert kinds(outer(inner(secret + b" " + rest)[:200_000] + b"\xff" * 40 + key)) >= {0, 1}
+
+
+def test_secrets_in_long_streams_in_streams():
+    rng = random.Random(8)
+    long = gzip.compress(rng.randbytes(secrets.PIECE) + b" " + SECRET.encode() + b" " + rng.randbytes(2 * secrets.PIECE), 1)
+    data = rng.randbytes(3 * secrets.PIECE // 2) + long + rng.randbytes(secrets.PIECE) + zlib.compress(b"\xff AKIA" + b"A" * 16 + b" ")
+    pieces = [data[i : i + 70_000] for i in range(0, len(data), 70_000)]
+    found = [b"".join(s) for s in secrets.streams(pieces)]
+    assert gzip.decompress(long) in found and any(b"AKIA" in x for x in found)
+    windows = list(secrets.contents(secrets.Stream(bz2.compress(data), 0)))
+    assert any(SECRET.encode() in x for x in windows) and any(b"AKIA" in x for x in windows)
+    assert list(secrets.streams([])) == []
+
+
+def test_streams_are_opened_however_deep_and_once():
+    data = SECRET.encode()
+    for _ in range(1500):
+        data = zlib.compress(data)
+    assert {k for _, k, _ in secrets.find(base64.b64encode(data).decode())[1]} == {0}
+    same = gzip.compress(b"plain enough text")
+    assert sum(b"enough" in x for x in secrets.contents(secrets.Stream(gzip.compress(same + b"\xff" + same), 0))) == 1
+
+
 def test_windows_share_what_lies_across():
     nested = base64.b64encode(prose(random.Random(9), 900_000).encode())
     data = b"ab cd " * 200_000 + nested + b" ef gh" * 200_000
