@@ -6,8 +6,10 @@ the other and adds weight times weight into the block's dense score array; the k
 of the array are picked by partition selection, and the blocks' picks are merged.
 
 Queries come in blocks as well: each cell (candidate block, query block) is one row of
-a join on its own key, so cells spread over tasks and no task holds more than one pair
-of blocks at a time. All pairs of the stated query set and all rows are scored.
+a join on its own key, so cells spread over tasks and no task holds more than a few pairs
+of blocks at a time. All pairs of the stated query set and all rows are scored. Every
+block is copied once per block of the other kind, so both kinds are of one size, and
+their weights are held on as few bytes as they need.
 """
 
 from __future__ import annotations
@@ -19,7 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eavspark.session import small_batches
+
 SAFE = 1 << 62
+MOST_TASKS = 4096  # for cells, however many there are
+WIDTHS = (np.int16, np.int32)  # else doubles
 
 
 def quantized(df: DataFrame, id_column: str, vector: str, scale: float) -> DataFrame:
@@ -60,7 +66,7 @@ def blocks(df: DataFrame, count: int, name: str) -> DataFrame:
                 pa.array([w], pa.int64()),
                 pa.array([np.array([i for i, _ in got], np.int64).tobytes()]),
                 pa.array([np.cumsum([len(v) for _, v in got]).astype(np.int64).tobytes()]),
-                pa.array([np.concatenate([v for _, v in got]).tobytes()]),
+                pa.array([_packed(np.concatenate([v for _, v in got])).tobytes()]),
             ], names=[name, "ids", "ends", "weights"])
 
     # hash partitions keep a block's rows in one task; blocks have a fixed expected size
@@ -71,10 +77,24 @@ def blocks(df: DataFrame, count: int, name: str) -> DataFrame:
     )
 
 
+def _packed(weights: np.ndarray) -> np.ndarray:
+    """Whole weights in the narrowest type that holds them all."""
+    low, high = weights.min(initial=0), weights.max(initial=0)
+    fits = (t for t in WIDTHS if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return weights.astype(next(fits, np.float64))
+
+
+def _weights(ends: bytes, raw: bytes) -> np.ndarray:
+    """The packed weights as doubles; their number tells how wide they are."""
+    count = int(np.frombuffer(ends, np.int64).max(initial=0))
+    width = len(raw) // max(count, 1)
+    return np.frombuffer(raw, next((t for t in WIDTHS if np.dtype(t).itemsize == width), np.float64)).astype(np.float64)
+
+
 def _rows(ids: bytes, ends: bytes, weights: bytes, dtype):
     """Row ids, row ends, terms and weights of the components that are not zero."""
+    w = _weights(ends, weights)
     ids, ends = np.frombuffer(ids, np.int64), np.frombuffer(ends, np.int64)
-    w = np.frombuffer(weights, np.float64)
     sizes = np.diff(ends, prepend=0)
     row = np.repeat(np.arange(len(ids)), sizes)
     term = np.arange(len(w)) - np.repeat(ends - sizes, sizes)
@@ -88,7 +108,7 @@ def _rows(ids: bytes, ends: bytes, weights: bytes, dtype):
 
 def score_cell(cand: tuple, quer: tuple, k: int) -> list[tuple[int, int, int]]:
     """(query, candidate, score) of each query's k best in one pair of blocks."""
-    big = [np.abs(np.frombuffer(x[2], np.float64)).max(initial=0) for x in (cand, quer)]
+    big = [np.abs(_weights(*x[1:])).max(initial=0) for x in (cand, quer)]
     longest = max(np.diff(np.frombuffer(x[1], np.int64), prepend=0).max(initial=0) for x in (cand, quer))
     exact = np.int64 if big[0] * big[1] * longest < SAFE else object  # else Python's whole numbers
     ids, rows, terms, weights = _rows(*cand, exact)
@@ -118,7 +138,7 @@ def score_cell(cand: tuple, quer: tuple, k: int) -> list[tuple[int, int, int]]:
 
 def top_k(
     df: DataFrame, queries: Column, k: int = 5, scale: float = 256.0, id_column: str = "vec_id",
-    vector: str = "embedding", candidates_per_block: int = 4096, queries_per_block: int = 256,
+    vector: str = "embedding", candidates_per_block: int = 4096, queries_per_block: int = 4096,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product per query.
 
@@ -127,6 +147,7 @@ def top_k(
     unequal length are compared over the components that both have. Scores are exact
     whole numbers, held to the range of long. No rows, or no queries, give no result.
     """
+    small_batches(df.sparkSession)
     weights = quantized(df, id_column, vector, scale)
     asked = weights.where(queries)
     n, m = weights.count(), asked.count()
@@ -134,6 +155,8 @@ def top_k(
     askers = max(1, -(-m // queries_per_block))
     left = blocks(weights, cands, "c").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(askers - 1)))).withColumn("q", F.col("q").cast("long"))
     right = blocks(asked, askers, "q").withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(cands - 1)))).withColumn("c", F.col("c").cast("long"))
+    # by number: few bytes make much work here, and by their bytes Spark would put cells in few tasks
+    tasks = min(2 * cands * askers, MOST_TASKS)
     right = right.select("c", "q", F.col("ids").alias("q_ids"), F.col("ends").alias("q_ends"), F.col("weights").alias("q_weights"))
 
     def score(batches: Iterator[pa.RecordBatch]):
@@ -146,7 +169,7 @@ def top_k(
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
-        left.join(right, ["c", "q"])
+        left.repartition(tasks, "c", "q").join(right.repartition(tasks, "c", "q"), ["c", "q"])
         .mapInArrow(score, "query_id long, vec_id long, score long")
         .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

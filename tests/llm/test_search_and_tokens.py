@@ -51,6 +51,29 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize(("big", "width"), [(0.0, 2), (127.0, 2), (-128.0, 2), (128.0, 4), (1e7, 8)])
+def test_top_k_holds_weights_on_the_bytes_they_need(spark, big, width):
+    vectors = {i: [0.5 * i, -1.0, big] for i in range(12)} | {50: [1.0, 0.25, big], 100: []}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    block = topk.blocks(topk.quantized(df, "vec_id", "embedding", 256.0), 1, "c").first()
+    assert len(block["weights"]) == width * 3 * 13 and len(block["ids"]) == 8 * 14
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in vectors.items()}
+    want = set()
+    for q in (0, 50, 100):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=False)), i) for i, v in whole.items() if i != q)[:5]
+        want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
+    assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score").collect()} == want
+
+
+def test_top_k_copies_blocks_seldom(spark, monkeypatch):
+    """The candidates are copied once per block of queries, so those are as large as theirs."""
+    counts = []
+    monkeypatch.setattr(topk, "blocks", lambda df, count, name, made=topk.blocks: counts.append(count) or made(df, count, name))
+    df = spark.range(50 * 600).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"))
+    topk.top_k(df, F.col("vec_id") % 50 == 0)
+    assert counts == [8, 1]  # candidates, queries
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 def test_ids_are_cut_in_blocks_of_128(n):
     ids = np.array([random.Random(i).choice([3, 9, 70, 2**32 - 1 if i % 50 == 0 else 5]) for i in range(n)], np.uint64)
